@@ -243,7 +243,7 @@ cte("judged_stream", ("thick",), _judged(_rolling("thick", "bias_score")))
 
 cte("polls", (), f"""
   SELECT CASE WHEN l_orderkey % 10 <> 3 THEN CAST(l_orderkey AS VARCHAR) END AS condition_id,
-    l_linestatus = 'F' AS closed, l_orderkey * 10 + l_linenumber AS arrival, l_quantity AS quantity,
+    l_linestatus = 'F' AS closed, l_orderkey * 10 + l_linenumber AS arrival, l_partkey AS part, l_extendedprice AS amount,
     CASE WHEN l_linestatus = 'F' THEN 'winner_known' ELSE 'historical_weather' END AS correlation_method,
     l_returnflag = 'R' AS is_arbitrage,
     ({lst(CITIES)})[CAST(l_suppkey % 25 AS INT) + 1] AS location_name,

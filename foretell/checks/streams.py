@@ -1 +1,169 @@
-"""Placeholder."""
+"""Structured Streaming jobs run to the end of the given tables.
+
+Each has SQL for what the stream must have emitted once its input is read.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from foretell.checks import check
+from foretell.checks.alerting import _accuracy_sql, _bias_sql
+from foretell.checks.ingestion import EVENT_SCHEMA
+from foretell.checks.scoring import HOPS
+from foretell.checks.sql import q, stream_metrics
+from foretell.operators import upsert as U
+from foretell.operators.accuracy import GROUP
+from foretell.plans.fixtures import Fixtures
+from foretell.sources import tables, topics
+from foretell.sources.session import scratch
+from foretell.streaming.hopping import stream_hopping
+from foretell.streaming.pending_join import stream_pending_join
+from foretell.streaming.rolling_alerts import stream_rolling_alerts
+from foretell.streaming.run import drain, drain_each
+
+ORDER_SCHEMA = (
+    "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string"
+)
+
+
+def _events(f):
+    raw = topics.read_stream(f.spark, f.folder, EVENT_SCHEMA, glob="events.parquet")
+    return raw.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _predictions(f):
+    orders = topics.read_stream(f.spark, f.folder, ORDER_SCHEMA, glob="orders.parquet")
+    return Fixtures.predictions_from(orders, f.table("customer"))
+
+
+def _stored_stream(f, df, name):
+    """A batch result written as a topic and read back as a stream."""
+    path = scratch(f.spark, name)
+    df.write.parquet(path)
+    return topics.read_stream(f.spark, path, df.schema)
+
+
+@check("src_stream_topic", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def _source(f):
+    return drain(_events(f), "source")
+
+
+@check(
+    "key_by",
+    q("SELECT coalesce(location_name, 'unknown') AS location_name, count(*) AS n FROM weather GROUP BY 1", "weather"),
+)
+def _key_by(f):
+    from foretell.streaming.run import drain_complete
+
+    keyed = Fixtures.weather_from(_events(f)).groupBy(F.coalesce("location_name", F.lit("unknown")).alias("location_name"))
+    return drain_complete(keyed.agg(F.count(F.lit(1)).alias("n")), "keyed")
+
+
+_HOP_KEYS = "location_name, market_type, window_start, window_end"
+_CLOSED = f"""SELECT * FROM ({stream_metrics(HOPS, _HOP_KEYS)})
+    WHERE window_end <= (SELECT date_trunc('milliseconds', max(poll_ts)) FROM correlations) - INTERVAL 15 MINUTE"""
+
+
+@check("stream_hopping", q(_CLOSED, "correlations"))
+def _hopping(f):
+    fields = ("poll_ts", *GROUP, "price", "actual_outcome", "prediction_error", "correlation_method", "volume")
+    return drain(stream_hopping(_stored_stream(f, f.correlations.select(*fields), "correlations")), "hopping")
+
+
+@check(
+    "watermark_15m",
+    q("""SELECT location_name, w AS window_start, count(*) AS n FROM (SELECT *, time_bucket(INTERVAL 1 HOUR, poll_ts) AS w FROM weather)
+         WHERE w + INTERVAL 1 HOUR <= (SELECT date_trunc('milliseconds', max(poll_ts)) FROM weather) - INTERVAL 15 MINUTE GROUP BY 1, 2""", "weather"),
+)
+def _watermark(f):
+    rows = Fixtures.weather_from(_events(f)).withWatermark("poll_ts", "15 minutes")
+    counted = rows.groupBy("location_name", F.window("poll_ts", "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    return drain(counted.select("location_name", F.col("w.start").alias("window_start"), "n"), "watermark")
+
+
+# for every prediction: the place's newest weather at that moment if it settles the
+# prediction, else the first later one that does; either within a day
+_PAIR_RULE = """
+    CASE WHEN p.closed AND p.winner IS NOT NULL THEN true
+      WHEN p.market_type IN ('RAIN', 'SNOW', 'WEATHER') THEN true
+      WHEN p.market_type IN ('SUNSHINE', 'FOG', 'HAIL', 'CLOUD') THEN w.weather_code IS NOT NULL
+      WHEN p.market_type = 'WIND' THEN w.wind_kmh IS NOT NULL
+      WHEN p.market_type = 'FROST' THEN w.temp_c IS NOT NULL
+      WHEN p.market_type = 'TEMPERATURE' THEN p.th_type IS NOT NULL ELSE false END"""
+_PENDING = f"""
+  SELECT condition_id, location_name, obs_id, weather_type, correlation_method FROM (
+    SELECT p.condition_id, p.location_name, w.obs_id, w.weather_type,
+      CASE WHEN p.closed AND p.winner IS NOT NULL THEN 'winner_known' WHEN w.weather_type = 'historical' THEN 'historical_weather'
+        ELSE 'current_snapshot' END AS correlation_method,
+      row_number() OVER (PARTITION BY p.condition_id ORDER BY w.poll_ts) AS rn
+    FROM predictions p JOIN weather w ON w.location_name = p.location_name
+      AND w.poll_ts BETWEEN p.poll_ts - INTERVAL 24 HOUR AND p.poll_ts + INTERVAL 24 HOUR
+    WHERE {_PAIR_RULE} AND (w.poll_ts > p.poll_ts OR w.poll_ts = (SELECT max(x.poll_ts) FROM weather x
+      WHERE x.location_name = p.location_name AND x.poll_ts <= p.poll_ts))) WHERE rn = 1"""
+
+
+@check(
+    "stream_pending_join",
+    q("SELECT condition_id, location_name, weather_type, correlation_method, obs_ts AS weather_poll_ts FROM (SELECT p.*, w.poll_ts AS obs_ts "
+      "FROM paired p JOIN weather w USING (obs_id))", "predictions", "weather").replace(
+        "\nSELECT condition_id", f", paired AS ({_PENDING})\nSELECT condition_id", 1),
+)
+def _pending(f):
+    joined = stream_pending_join(_predictions(f), Fixtures.weather_from(_events(f)))
+    return drain(joined, "pending").select(
+        "condition_id", "location_name", "weather_type", "correlation_method", "weather_poll_ts"
+    )
+
+
+@check(
+    "state_ttl_24h",
+    q(f"SELECT weather_type, correlation_method, count(*) AS n FROM ({_PENDING.replace('24 HOUR', '1 HOUR')}) GROUP BY 1, 2", "predictions", "weather"),
+)
+def _ttl(f):
+    """The same join with state that lives one hour."""
+    joined = stream_pending_join(
+        _predictions(f), Fixtures.weather_from(_events(f)), ttl_hours=1, salts=3, lateness="40 days"
+    )
+    return drain(joined, "ttl").groupBy("weather_type", "correlation_method").agg(F.count(F.lit(1)).alias("n"))
+
+
+_STREAM_ALERTS = (
+    f"SELECT * FROM ({_accuracy_sql('judged_stream', '0.7', True, 'window_end')}) UNION ALL "
+    f"SELECT * FROM ({_bias_sql('judged_stream', True, 'window_end')})"
+)
+
+
+@check("stream_rolling_alerts", q(_STREAM_ALERTS, "judged_stream"))
+def _rolling(f):
+    return drain(stream_rolling_alerts(_stored_stream(f, f.aggregates, "aggregates")), "alerts")
+
+
+@check("append_alert", q(f"SELECT alert_type, severity, count(*) AS n FROM ({_STREAM_ALERTS}) GROUP BY 1, 2", "judged_stream"))
+def _append_alert(f):
+    """Plain inserts through a batch function that appends."""
+    path = scratch(f.spark, "alert-table")
+    stream = stream_rolling_alerts(_stored_stream(f, f.aggregates, "aggregates"))
+    drain_each(stream, "append", lambda batch, _: tables.append_table(batch, path))
+    return f.spark.read.parquet(path).groupBy("alert_type", "severity").agg(F.count(F.lit(1)).alias("n"))
+
+
+@check(
+    "idempotent_sink",
+    q("""SELECT alert_type, location_name, market_type, arg_max(severity, alert_id) AS severity, arg_max(message, alert_id) AS message,
+           arg_max(metric_value, alert_id) AS metric_value, arg_min(threshold_value, alert_id) AS threshold_value,
+           arg_min(is_resolved, alert_id) AS is_resolved, max(detected_at) AS detected_at FROM stored_alerts GROUP BY 1, 2, 3""", "stored_alerts"),
+)
+def _idempotent(f):
+    """Every micro-batch is delivered twice; the table is as if it came once."""
+    log = f.stored_alerts.drop("resolved_at")
+    path = scratch(f.spark, "alert-log")
+    write = tables.upsert_sink(path)
+
+    def twice(batch, batch_id):
+        write(batch, batch_id)
+        write(batch, batch_id)
+
+    drain_each(_stored_stream(f, log, "alerts"), "twice", twice)
+    return tables.read_changes(f.spark, path, U.ALERT_KEYS, U.ALERT_UPDATES, "alert_id")

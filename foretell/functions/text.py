@@ -14,6 +14,15 @@ from foretell import constants as C
 UNICODE = "(?U)"
 
 
+def choose(col: Column, mapping: dict) -> Column:
+    """Value a small fixed mapping gives for ``col``; null where it has none."""
+    (key, value), *rest = mapping.items()
+    chain = F.when(col == key, F.lit(value))
+    for key, value in rest:
+        chain = chain.when(col == key, F.lit(value))
+    return chain
+
+
 def _strip(col: Column) -> Column:
     return F.regexp_replace(col, UNICODE + r"^\s+|\s+$", "")
 
@@ -28,10 +37,7 @@ def market_type(question: Column) -> Column:
 
 
 def base_rate(type_col: Column) -> Column:
-    chain = None
-    for name, rate in C.BASE_RATES.items():
-        chain = (chain or F).when(type_col == name, F.lit(rate))
-    return chain.otherwise(F.lit(C.DEFAULT_BASE_RATE))
+    return F.coalesce(choose(type_col, C.BASE_RATES), F.lit(C.DEFAULT_BASE_RATE))
 
 
 def _candidate(question: Column, pattern: str, stop_words: str) -> Column:
@@ -56,11 +62,7 @@ def extract_city_basic(question: Column) -> Column:
 
 
 def nickname_target(city: Column) -> Column:
-    lowered = F.lower(city)
-    chain = None
-    for nick, name in C.CITY_NICKNAMES.items():
-        chain = (chain or F).when(lowered == nick, F.lit(name))
-    return chain
+    return choose(F.lower(city), C.CITY_NICKNAMES)
 
 
 def normalize_city(city: Column) -> Column:
@@ -94,15 +96,19 @@ def question_key(question: Column) -> Column:
 
 
 def matched_terms(text: Column) -> Column:
-    """Search terms contained in the text, case-insensitively, in query order."""
-    lowered = F.lower(text)
-    hits = [F.when(F.contains(lowered, F.lit(t.lower())), F.lit(t)) for t in C.SEARCH_TERMS]
-    return F.filter(F.array(*hits), lambda t: t.isNotNull())
+    """[(term_no, term)] contained in the text, case-insensitively, in query order.
+
+    The term list is one constant and the text appears once, so the expression
+    stays small however many terms there are.
+    """
+    listed = ", ".join(
+        f"named_struct('term_no', {i}, 'term', '{t}', 'needle', '{t.lower()}')"
+        for i, t in enumerate(C.SEARCH_TERMS)
+    )
+    hits = F.filter(F.expr(f"array({listed})"), lambda h: F.contains(F.lower(text), h["needle"]))
+    return F.transform(hits, lambda h: F.struct(h["term_no"].alias("term_no"), h["term"].alias("term")))
 
 
 def term_match(text: Column) -> Column:
-    lowered = F.lower(text)
-    hit = F.lit(False)
-    for term in C.SEARCH_TERMS:
-        hit = hit | F.contains(lowered, F.lit(term.lower()))
-    return hit
+    """Any search term: one alternation, one scan of the text."""
+    return F.lower(text).rlike("|".join(rf"\Q{t.lower()}\E" for t in C.SEARCH_TERMS))

@@ -57,3 +57,10 @@ def historical_eligible(date_text: Column, as_of) -> Column:
     """True for an ISO date strictly before the day of ``as_of``."""
     day = F.try_to_date(date_text, "yyyy-MM-dd")
     return F.coalesce(day < F.to_date(instant(as_of)), F.lit(False))
+
+
+def within(col: Column, as_of, span: str, inclusive: bool = True) -> Column:
+    """Does ``col`` fall in the last ``span`` before ``as_of``? A plain comparison of
+    the column with a constant, so it reaches the scan."""
+    start = instant(as_of) - F.expr(f"interval {span}")
+    return col >= start if inclusive else col > start

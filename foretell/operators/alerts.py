@@ -169,7 +169,7 @@ def mispricing_open(records: DataFrame, as_of) -> DataFrame:
     )
 
 
-def mispricing_flagged(records: DataFrame, as_of, arrival: str = "arrival") -> DataFrame:
+def mispricing_flagged(records: DataFrame, as_of, arrival="arrival") -> DataFrame:
     """First record per market decides; only then is its flag tested."""
     base = F.coalesce(F.col("base_rate"), F.lit(C.DEFAULT_BASE_RATE))
     deviation = F.coalesce(F.col("deviation_from_base"), F.lit(0.0))
@@ -375,12 +375,13 @@ def detect_all(
     expected: DataFrame,
     correlations: DataFrame,
     as_of,
+    arrival="arrival",
 ) -> DataFrame:
     """The anomaly job: newest aggregate per key against its baseline, then all rules."""
     newest = latest_aggregate(baselines(aggregates))
     return union_alerts(
         aggregate_alerts(newest, as_of),
-        mispricing_flagged(predictions, as_of),
+        mispricing_flagged(predictions, as_of, arrival),
         producer_timeout(health, expected, as_of),
         low_coverage(correlations, as_of),
     )

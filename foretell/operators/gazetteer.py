@@ -79,12 +79,10 @@ def split_review(df: DataFrame, question: str = "question") -> tuple[DataFrame,
 def timezone_lookup(df: DataFrame, gazetteer: DataFrame, city: str = "city") -> DataFrame:
     """Known city's zone, else the gazetteer's, else UTC."""
     zones = gazetteer.select(F.col("city_name").alias("__city"), F.col("timezone").alias("__tz"))
-    chain = None
-    for name, zone in C.CITY_TIMEZONES.items():
-        chain = (chain or F).when(F.col(city) == name, F.lit(zone))
+    known = X.choose(F.col(city), C.CITY_TIMEZONES)
     return (
         df.join(zones, F.col(city) == F.col("__city"), "left")
-        .withColumn("timezone", F.coalesce(chain, "__tz", F.lit("UTC")))
+        .withColumn("timezone", F.coalesce(known, "__tz", F.lit("UTC")))
         .drop("__city", "__tz")
     )
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foretell import constants as C
 from foretell.functions import text as X
 from foretell.functions.numeric import round_to
 from foretell.functions.outcomes import c_to_f, prediction_error
@@ -57,28 +58,31 @@ def parse_market(markets: DataFrame, gazetteer: DataFrame, as_of) -> DataFrame:
     )
 
 
-def canonical_fields(df: DataFrame) -> DataFrame:
-    """Lower-case spelling wins over the upper-case one; ``yes_price`` stands in for
-    ``price``. Column names are matched case-sensitively, so the session needs
-    ``spark.sql.caseSensitive`` if one frame carries both spellings."""
-    names = set(df.columns)
+# -- fixed values: accepted spellings of a field, first non-null wins ------------
+SPELLINGS = {
+    "condition_id": ("condition_id", "CONDITION_ID"),
+    "closed": ("closed", "CLOSED"),
+    "price": ("price", "yes_price", "YES_PRICE"),
+    "poll_timestamp": ("poll_timestamp", "POLL_TIMESTAMP"),
+}
 
-    def merged(*spellings: str) -> Column | None:
-        found = [F.col(s) for s in spellings if s in names]
-        return F.coalesce(*found) if found else None
 
-    wanted = {
-        "condition_id": merged("condition_id", "CONDITION_ID"),
-        "closed": merged("closed", "CLOSED"),
-        "price": merged("price", "yes_price", "YES_PRICE"),
-        "poll_timestamp": merged("poll_timestamp", "POLL_TIMESTAMP"),
-    }
-    spent = {
-        "condition_id", "CONDITION_ID", "closed", "CLOSED", "price", "yes_price",
-        "YES_PRICE", "poll_timestamp", "POLL_TIMESTAMP",
+def canonical_fields(df: DataFrame, spellings: dict[str, Sequence[str]] | None = None) -> DataFrame:
+    """One lower-case column per field, whichever spelling a record uses.
+
+    Names are matched exactly. A frame that carries two spellings differing only in
+    case needs ``spark.sql.caseSensitive``; JSON read with a schema can name them apart.
+    """
+    table = {**SPELLINGS, **(spellings or {})}
+    names = set(df.columns)
+    spent = {name for options in table.values() for name in options}
+    merged = {
+        field: [F.col(name) for name in options if name in names] for field, options in table.items()
     }
-    rest = [F.col(c) for c in df.columns if c not in spent]
-    return df.select(*[v.alias(k) for k, v in wanted.items() if v is not None], *rest)
+    return df.select(
+        *[F.coalesce(*found).alias(field) for field, found in merged.items() if found],
+        *[F.col(c) for c in df.columns if c not in spent],
+    )
 
 
 def flatten_current(raw: DataFrame) -> DataFrame:
@@ -158,16 +162,8 @@ def term_report(results: DataFrame) -> DataFrame:
 
 def term_hits(markets: DataFrame, question: str = "question") -> DataFrame:
     """(term_no, term, id) for every search term a market's text contains."""
-    lowered = F.lower(F.col(question))
-    hits = [
-        F.when(
-            F.contains(lowered, F.lit(term.lower())),
-            F.struct(F.lit(i).alias("term_no"), F.lit(term).alias("term")),
-        )
-        for i, term in enumerate(C.SEARCH_TERMS)
-    ]
-    found = F.filter(F.array(*hits), lambda h: h.isNotNull())
-    return markets.select("id", F.inline(found))
+    wanted = markets.where(X.term_match(F.col(question)))
+    return wanted.select("id", F.inline(X.matched_terms(F.col(question))))
 
 
 def distinct_city_dates(predictions: DataFrame, gazetteer: DataFrame, arrival: str = "arrival") -> DataFrame:

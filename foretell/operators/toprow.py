@@ -30,21 +30,26 @@ def latest_with_ties(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     return df.withColumn(_RANK, F.rank().over(window)).where(F.col(_RANK) == 1).drop(_RANK)
 
 
-def prefer_closed(polls: DataFrame, arrival: str) -> DataFrame:
+def _in_order(arrival: str | Sequence[str]) -> list[Column]:
+    return [F.col(c) for c in ([arrival] if isinstance(arrival, str) else arrival)]
+
+
+def prefer_closed(polls: DataFrame, arrival: str | Sequence[str]) -> DataFrame:
     """First poll of a market, replaced by its first closed poll; null ids drop."""
     closed_first = F.coalesce(F.col("closed"), F.lit(False)).desc()
     known = polls.where(F.col("condition_id").isNotNull() & (F.col("condition_id") != ""))
-    return first_per_key(known, ["condition_id"], [closed_first, F.col(arrival)])
+    return first_per_key(known, ["condition_id"], [closed_first, *_in_order(arrival)])
 
 
-def prefer_winner(correlations: DataFrame, arrival: str) -> DataFrame:
+def prefer_winner(correlations: DataFrame, arrival: str | Sequence[str]) -> DataFrame:
     """First record, replaced by the first decided one; rows without id all stay."""
     has_id = F.coalesce(F.col("condition_id") != "", F.lit(False))
     decided_first = F.col("correlation_method").eqNullSafe(F.lit("winner_known")).desc()
-    unique = first_per_key(correlations.where(has_id), ["condition_id"], [decided_first, F.col(arrival)])
+    order = [decided_first, *_in_order(arrival)]
+    unique = first_per_key(correlations.where(has_id), ["condition_id"], order)
     return unique.unionByName(correlations.where(~has_id))
 
 
-def first_seen(records: DataFrame, arrival: str) -> DataFrame:
+def first_seen(records: DataFrame, arrival: str | Sequence[str]) -> DataFrame:
     known = records.where(F.col("condition_id").isNotNull() & (F.col("condition_id") != ""))
-    return first_per_key(known, ["condition_id"], [F.col(arrival)])
+    return first_per_key(known, ["condition_id"], _in_order(arrival))

@@ -28,11 +28,14 @@ TYPES = (
     "RAIN", "SNOW", "TEMPERATURE", "SUNSHINE", "WIND", "FOG", "HAIL", "CLOUD",
     "FROST", "WEATHER", "VOLCANO",
 )
+# two lines of an order may share a number, so arrival needs more than that
+POLL_ORDER = ("arrival", "part", "amount")
 ODD_PLACES = ("NYC", "Frisco", "Atlantis", "Monday Next Week")
 
 
 def pick(names: tuple[str, ...], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in names]), index.cast("int") + 1)
+    listed = ", ".join(f"'{n}'" for n in names)
+    return F.element_at(F.expr(f"array({listed})"), index.cast("int") + 1)
 
 
 class Fixtures:
@@ -118,7 +121,8 @@ class Fixtures:
             F.when(key % 10 != 3, key.cast("string")).alias("condition_id"),
             (F.col("l_linestatus") == "F").alias("closed"),
             (key * 10 + F.col("l_linenumber")).alias("arrival"),
-            F.col("l_quantity").alias("quantity"),
+            F.col("l_partkey").alias("part"),
+            F.col("l_extendedprice").alias("amount"),
             method.alias("correlation_method"),
             (F.col("l_returnflag") == "R").alias("is_arbitrage"),
             pick(CITIES, F.col("l_suppkey") % 25).alias("location_name"),
@@ -144,12 +148,10 @@ class Fixtures:
             F.lit("Will the home team win the 2024 final?"),
             F.concat(F.lit("A hurricane? Expect wind in "), odd, F.lit(" tomorrow, freezing")),
         ]
-        chain = None
-        for i, text in enumerate(texts):
-            chain = (chain or F).when(k % 8 == i, text)
+        asked = F.coalesce(*[F.when(k % 8 == i, text) for i, text in enumerate(texts)])
         return self.predictions.select(
             F.concat(F.lit("m"), k.cast("string")).alias("id"),
-            chain.alias("question"),
+            asked.alias("question"),
             "arrival",
             "location_name",
             "price",

@@ -25,6 +25,8 @@ def local_session(cpus: int | str = "*", app: str = "foretell") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # call-site capture costs some milliseconds per column expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
     )

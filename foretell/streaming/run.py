@@ -34,3 +34,18 @@ def drain_each(df: DataFrame, name: str, sink) -> None:
         .start()
     )
     query.awaitTermination()
+
+
+def drain_complete(df: DataFrame, name: str) -> DataFrame:
+    """For aggregates without watermark: the final table is the last batch's output."""
+    spark = df.sparkSession
+    out = scratch(spark, f"{name}-out")
+    query = (
+        df.writeStream.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out))
+        .outputMode("complete")
+        .option("checkpointLocation", scratch(spark, f"{name}-state"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(df.schema).parquet(out)
