@@ -209,16 +209,16 @@ cte("aggregates", ("daily_rows",), f"""
   FROM ({batch_metrics('daily_rows', 'location_name, market_type, window_start')})""")
 
 
-def _rolling(source: str, bias: str) -> str:
+def rolling(source: str, bias: str, days: int = 7) -> str:
     return f"""
   SELECT *, count(*) OVER f AS n_rows, CAST(sum(au) OVER f AS BIGINT) AS s_acc, CAST(sum(au * au) OVER f AS BIGINT) AS q_acc,
     CAST(sum(bu) OVER f AS BIGINT) AS s_bias, CAST(sum(bu * bu) OVER f AS BIGINT) AS q_bias
   FROM (SELECT *, {units('accuracy_rate', 4)} AS au, {units(bias, 4)} AS bu FROM {source})
   WINDOW f AS (PARTITION BY location_name, market_type ORDER BY window_end
-               RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND CURRENT ROW)"""
+               RANGE BETWEEN INTERVAL {days} DAY PRECEDING AND CURRENT ROW)"""
 
 
-def _judged(rolled: str) -> str:
+def judged(rolled: str) -> str:
     def mean(s):
         return f"(CAST({s} AS DOUBLE) / CAST(n_rows AS DOUBLE) / 1e4)"
 
@@ -237,9 +237,9 @@ def _judged(rolled: str) -> str:
   FROM ({rolled})"""
 
 
-cte("judged", ("aggregates",), _judged(_rolling("aggregates", "abs(bias_score)")))
+cte("judged", ("aggregates",), judged(rolling("aggregates", "abs(bias_score)")))
 cte("thick", ("aggregates",), "SELECT * FROM aggregates WHERE total_predictions >= 10")
-cte("judged_stream", ("thick",), _judged(_rolling("thick", "bias_score")))
+cte("judged_stream", ("thick",), judged(rolling("thick", "bias_score")))
 
 cte("polls", (), f"""
   SELECT CASE WHEN l_orderkey % 10 <> 3 THEN CAST(l_orderkey AS VARCHAR) END AS condition_id,

@@ -11,7 +11,7 @@ from foretell.checks import check
 from foretell.checks.alerting import _accuracy_sql, _bias_sql
 from foretell.checks.ingestion import EVENT_SCHEMA
 from foretell.checks.scoring import HOPS
-from foretell.checks.sql import q, stream_metrics
+from foretell.checks.sql import judged, q, rolling, stream_metrics
 from foretell.operators import upsert as U
 from foretell.operators.accuracy import GROUP
 from foretell.plans.fixtures import Fixtures
@@ -19,8 +19,8 @@ from foretell.sources import tables, topics
 from foretell.sources.session import scratch
 from foretell.streaming.hopping import stream_hopping
 from foretell.streaming.pending_join import stream_pending_join
-from foretell.streaming.rolling_alerts import stream_rolling_alerts
-from foretell.streaming.run import drain, drain_each
+from foretell.streaming.rolling_alerts import stream_baselines, stream_rolling_alerts
+from foretell.streaming.run import drain, drain_complete, drain_each, drain_into
 
 ORDER_SCHEMA = (
     "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
@@ -55,8 +55,6 @@ def _source(f):
     q("SELECT coalesce(location_name, 'unknown') AS location_name, count(*) AS n FROM weather GROUP BY 1", "weather"),
 )
 def _key_by(f):
-    from foretell.streaming.run import drain_complete
-
     keyed = Fixtures.weather_from(_events(f)).groupBy(F.coalesce("location_name", F.lit("unknown")).alias("location_name"))
     return drain_complete(keyed.agg(F.count(F.lit(1)).alias("n")), "keyed")
 
@@ -167,3 +165,67 @@ def _idempotent(f):
 
     drain_each(_stored_stream(f, log, "alerts"), "twice", twice)
     return tables.read_changes(f.spark, path, U.ALERT_KEYS, U.ALERT_UPDATES, "alert_id")
+
+
+# -- lateness, retention, restart ---------------------------------------------------------
+
+_LATE = """
+  SELECT location_name, w AS window_start, count(*) AS n FROM (
+    SELECT *, time_bucket(INTERVAL 1 HOUR, poll_ts) AS w, poll_ts >= TIMESTAMP '2024-01-20' OR obs_id % 10 = 0 AS second FROM weather),
+    (SELECT max(poll_ts) FILTER (poll_ts < TIMESTAMP '2024-01-20' AND obs_id % 10 <> 0) AS first_max, max(poll_ts) AS last_max FROM weather)
+  WHERE (NOT second OR w + INTERVAL 1 HOUR > date_trunc('milliseconds', first_max) - INTERVAL 15 MINUTE)
+    AND w + INTERVAL 1 HOUR <= date_trunc('milliseconds', last_max) - INTERVAL 15 MINUTE GROUP BY 1, 2"""
+
+
+@check("late_drop", q(_LATE, "weather"))
+def _late(f):
+    """Every tenth row of the first nineteen days arrives only with the last ten days,
+    too late for windows the watermark has closed by then."""
+    topic, out, checkpoint = (scratch(f.spark, n) for n in ("late-topic", "late-out", "late-state"))
+    rows = f.weather.select("obs_id", "location_name", "poll_ts")
+    second = (F.col("poll_ts") >= F.lit("2024-01-20").cast("timestamp")) | (F.col("obs_id") % 10 == 0)
+    for part in (~second, second):
+        rows.where(part).write.mode("append").parquet(topic)
+        stream = topics.read_stream(f.spark, topic, rows.schema).withWatermark("poll_ts", "15 minutes")
+        counted = stream.groupBy("location_name", F.window("poll_ts", "1 hour").alias("w")).agg(
+            F.count(F.lit(1)).alias("n")
+        )
+        shown = counted.select("location_name", F.col("w.start").alias("window_start"), "n")
+        result = drain_into(shown, out, checkpoint)
+    return result
+
+
+_TWO_DAYS = judged(rolling("thick", "bias_score", 2))
+
+
+@check(
+    "state_ttl_8d",
+    q(f"""SELECT location_name, market_type, window_end, baseline_n, acc_mean, acc_std, bias_mean, bias_std
+          FROM ({_TWO_DAYS})""", "thick"),
+)
+def _retention(f):
+    """Rolling history kept for two days, over two runs of the same stream."""
+    topic, out, checkpoint = (scratch(f.spark, n) for n in ("kept-topic", "kept-out", "kept-state"))
+    border = F.lit("2024-01-15").cast("timestamp")
+    for part in (F.col("window_start") < border, F.col("window_start") >= border):
+        f.aggregates.where(part).write.mode("append").parquet(topic)
+        stream = topics.read_stream(f.spark, topic, f.aggregates.schema)
+        bounds = stream_baselines(stream, days=2).select(
+            "location_name", "market_type", "window_end", "baseline_n", "acc_mean", "acc_std", "bias_mean", "bias_std"
+        )
+        result = drain_into(bounds, out, checkpoint)
+    return result
+
+
+@check("checkpoint_60s", "SELECT event_id, event_type, value FROM events")
+def _checkpoint(f):
+    """A job with one checkpoint a minute, stopped and started again: the second start
+    finds its offsets in the checkpoint and emits nothing twice."""
+    out, checkpoint = scratch(f.spark, "minute-out"), scratch(f.spark, "minute-state")
+    events = _events(f).select("event_id", "event_type", "value")
+    for _ in range(2):
+        query = topics.stream_to_topic(events, out, checkpoint, every="60 seconds").start()
+        while not query.lastProgress and not query.awaitTermination(1):
+            pass
+        query.stop()
+    return f.spark.read.schema(events.schema).parquet(out)

@@ -51,6 +51,8 @@ def read_changes(
     """Current state of a change log: batches in order, then ``seq`` inside a batch."""
     log = spark.read.parquet(path)
     ordered = log.withColumn("__seq", F.struct("batch_id", seq)).drop("batch_id")
+    if seq not in update_cols:
+        ordered = ordered.drop(seq)
     return fold_changes(ordered, keys, update_cols, "__seq")
 
 

@@ -10,7 +10,11 @@ from foretell.sources.session import scratch
 def drain(df: DataFrame, name: str) -> DataFrame:
     """Run to the end of the available input, append to parquet, read it back."""
     spark: SparkSession = df.sparkSession
-    out, checkpoint = scratch(spark, f"{name}-out"), scratch(spark, f"{name}-state")
+    return drain_into(df, scratch(spark, f"{name}-out"), scratch(spark, f"{name}-state"))
+
+
+def drain_into(df: DataFrame, out: str, checkpoint: str) -> DataFrame:
+    """Same with given folders, so that a later run takes up where this one ended."""
     query = (
         df.writeStream.format("parquet")
         .outputMode("append")
@@ -20,7 +24,7 @@ def drain(df: DataFrame, name: str) -> DataFrame:
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(df.schema).parquet(out)
+    return df.sparkSession.read.schema(df.schema).parquet(out)
 
 
 def drain_each(df: DataFrame, name: str, sink) -> None:
