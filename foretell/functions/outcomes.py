@@ -30,8 +30,10 @@ def _bit(condition: Column) -> Column:
     return condition.cast("int")
 
 
-def compare_threshold(actual_f: Column, threshold: Column) -> Column:
-    actual = F.when(threshold["unit"].eqNullSafe(F.lit("C")), f_to_c(actual_f)).otherwise(actual_f)
+def compare_threshold(actual_f: Column, threshold: Column, actual_f_in_c: Column | None = None) -> Column:
+    """``actual_f_in_c`` spares the conversion where the caller has it already."""
+    in_c = f_to_c(actual_f) if actual_f_in_c is None else actual_f_in_c
+    actual = F.when(threshold["unit"].eqNullSafe(F.lit("C")), in_c).otherwise(actual_f)
     kind = threshold["type"]
     # between() would answer false when only one bound is missing
     both = threshold["value_min"].isNotNull() & threshold["value_max"].isNotNull()
@@ -43,6 +45,25 @@ def compare_threshold(actual_f: Column, threshold: Column) -> Column:
     )
 
 
+def weather_rules(
+    code: Column, precip_mm: Column, rain_mm: Column, wind_kmh: Column, temp_c: Column
+) -> dict[str, Column]:
+    """market type -> 1, 0 or null (cannot tell)."""
+    precip = F.coalesce(precip_mm, F.lit(0.0)) > 0.1
+    rain = F.coalesce(rain_mm, F.lit(0.0)) > 0.1
+    return {
+        "RAIN": F.coalesce(_bit(code.isin(*C.RAIN_CODES)), _bit(precip | rain)),
+        "SNOW": F.coalesce(_bit(code.isin(*C.SNOW_CODES)), F.lit(0)),
+        "SUNSHINE": _bit(code.isin(*C.CLEAR_CODES)),
+        "WIND": _bit(wind_kmh > 30),
+        "FOG": _bit(code.isin(*C.FOG_CODES)),
+        "HAIL": _bit(code.isin(*C.HAIL_CODES)),
+        "CLOUD": _bit(code.isin(*C.CLOUDY_CODES)),
+        "FROST": _bit(temp_c <= 0),
+        "WEATHER": F.coalesce(_bit(code.isin(*C.RAIN_CODES, *C.SNOW_CODES)), _bit(precip)),
+    }
+
+
 def weather_outcome(
     market_type: Column,
     code: Column,
@@ -51,22 +72,8 @@ def weather_outcome(
     wind_kmh: Column,
     temp_c: Column,
 ) -> Column:
-    precip = F.coalesce(precip_mm, F.lit(0.0)) > 0.1
-    rain = F.coalesce(rain_mm, F.lit(0.0)) > 0.1
-    return (
-        F.when(market_type == "RAIN", F.coalesce(_bit(code.isin(*C.RAIN_CODES)), _bit(precip | rain)))
-        .when(market_type == "SNOW", F.coalesce(_bit(code.isin(*C.SNOW_CODES)), F.lit(0)))
-        .when(market_type == "SUNSHINE", _bit(code.isin(*C.CLEAR_CODES)))
-        .when(market_type == "WIND", _bit(wind_kmh > 30))
-        .when(market_type == "FOG", _bit(code.isin(*C.FOG_CODES)))
-        .when(market_type == "HAIL", _bit(code.isin(*C.HAIL_CODES)))
-        .when(market_type == "CLOUD", _bit(code.isin(*C.CLOUDY_CODES)))
-        .when(market_type == "FROST", _bit(temp_c <= 0))
-        .when(
-            market_type == "WEATHER",
-            F.coalesce(_bit(code.isin(*C.RAIN_CODES, *C.SNOW_CODES)), _bit(precip)),
-        )
-    )
+    rules = weather_rules(code, precip_mm, rain_mm, wind_kmh, temp_c)
+    return F.coalesce(*[F.when(market_type == name, rule) for name, rule in rules.items()])
 
 
 def prediction_error(probability: Column, outcome: Column) -> Column:
@@ -79,46 +86,52 @@ def hit(price: Column, outcome: Column) -> Column:
     return F.coalesce(right, F.lit(False))
 
 
-# -- which predictions can a weather row settle? -------------------------------
-# Bit i stands for market i of SETTLED_MARKETS. A prediction needs one bit, a
-# weather row offers several, so "does this row settle it" is a bitwise AND.
+# -- settling by bit masks ------------------------------------------------------
+# Bit i stands for market i of SETTLED_MARKETS. A weather row carries which markets
+# it can answer and which of them occurred, worked out once per weather row; a
+# prediction needs one bit. "Does this row settle it, and how" is then two ANDs.
 SETTLED_MARKETS = WEATHER_MARKETS + ("TEMPERATURE",)
 ANY_WEATHER_BIT = 1 << len(SETTLED_MARKETS)
+SETTLEMENT = ("answers", "occurs", "temp_f_in_c")
+
 
+def _sum_bits(conditions: dict[str, Column]) -> Column:
+    total = F.lit(0)
+    for name, condition in conditions.items():
+        total = total + F.when(condition, 1 << SETTLED_MARKETS.index(name)).otherwise(0)
+    return total
 
-def settles_mask(weather_type: Column, code: Column, wind_kmh: Column, temp_c: Column, temp_f: Column) -> Column:
-    available = {
-        "RAIN": F.lit(True),
-        "SNOW": F.lit(True),
-        "WEATHER": F.lit(True),
-        "SUNSHINE": code.isNotNull(),
-        "FOG": code.isNotNull(),
-        "HAIL": code.isNotNull(),
-        "CLOUD": code.isNotNull(),
-        "WIND": wind_kmh.isNotNull(),
-        "FROST": temp_c.isNotNull(),
-        "TEMPERATURE": temp_f.isNotNull(),
+
+def settlement(weather) -> dict[str, Column]:
+    """Columns for ``weather[field]``: a DataFrame, a struct column or ``F`` by name."""
+    rules = weather_rules(
+        weather["weather_code"], weather["precip_mm"], weather["rain_mm"], weather["wind_kmh"], weather["temp_c"]
+    )
+    answered = {name: rule.isNotNull() for name, rule in rules.items()}
+    answered["TEMPERATURE"] = weather["temp_f"].isNotNull()
+    known = F.coalesce(weather["weather_type"], F.lit("current")).isin("historical", "current")
+    return {
+        "answers": F.when(known, _sum_bits(answered)).otherwise(0) + F.lit(ANY_WEATHER_BIT),
+        "occurs": _sum_bits({name: rule == 1 for name, rule in rules.items()}),
+        "temp_f_in_c": f_to_c(weather["temp_f"]),
     }
-    typed = F.lit(0)
-    for i, name in enumerate(SETTLED_MARKETS):
-        typed = typed + F.when(available[name], 1 << i).otherwise(0)
-    known = F.coalesce(weather_type, F.lit("current")).isin("historical", "current")
-    return (F.when(known, typed).otherwise(0) + F.lit(ANY_WEATHER_BIT)).cast("int")
+
+
+def market_bit(market_type: Column) -> Column:
+    """The bit of a market type, 0 for an unknown one."""
+    bits = ", ".join(f"'{name}', {1 << i}" for i, name in enumerate(SETTLED_MARKETS))
+    return F.coalesce(F.try_element_at(F.expr(f"map({bits})"), market_type), F.lit(0))
 
 
 def needs_mask(market_type: Column, closed: Column, winner: Column, threshold: Column) -> Column:
-    usable = (
-        (threshold["type"].isin("above", "below") & threshold["value"].isNotNull())
-        | (
-            (threshold["type"] == "between")
-            & threshold["value_min"].isNotNull()
-            & threshold["value_max"].isNotNull()
-        )
+    """The one bit a prediction needs: a known winner takes any weather row."""
+    bounded = threshold["value_min"].isNotNull() & threshold["value_max"].isNotNull()
+    usable = (threshold["type"].isin("above", "below") & threshold["value"].isNotNull()) | (
+        (threshold["type"] == "between") & bounded
+    )
+    hopeless = (market_type == "TEMPERATURE") & ~F.coalesce(usable, F.lit(False))
+    return (
+        F.when(closed & winner.isNotNull(), ANY_WEATHER_BIT)
+        .when(hopeless, 0)
+        .otherwise(market_bit(market_type))
     )
-    chain = F.when(closed & winner.isNotNull(), ANY_WEATHER_BIT)
-    for i, name in enumerate(SETTLED_MARKETS):
-        wanted = market_type == name
-        if name == "TEMPERATURE":
-            wanted = wanted & F.coalesce(usable, F.lit(False))
-        chain = chain.when(wanted, 1 << i)
-    return chain.otherwise(0).cast("int")

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foretell.functions.outcomes import settlement
 from foretell.operators.toprow import latest_per_key
 
 HISTORICAL = "historical"
@@ -37,18 +38,24 @@ def _packed(weather: DataFrame, name: str) -> F.Column:
 
 
 def resolve_keys(asked: DataFrame, exact: DataFrame, current: DataFrame) -> DataFrame:
-    """(location_name, end_date) -> struct ``w``; unmatched keys are left out."""
+    """(location_name, end_date) -> struct ``w``; unmatched keys are left out.
+
+    The weather rules run here, once per key, not once per prediction.
+    """
     keys = asked.select("location_name", "end_date").where("location_name is not null").distinct()
     by_day = exact.select(
         "location_name", F.col("observation_date").alias("end_date"), _packed(exact, "day_row")
     )
     by_place = current.select("location_name", _packed(current, "place_row"))
-    return (
+    found = (
         keys.join(by_day, ["location_name", "end_date"], "left")
         .join(by_place, "location_name", "left")
         .select("location_name", "end_date", F.coalesce("day_row", "place_row").alias("w"))
         .where(F.col("w").isNotNull())
     )
+    fields = [F.col(f"w.{c}") for c in exact.columns]
+    rules = [rule.alias(name) for name, rule in settlement(F.col("w")).items()]
+    return found.select("location_name", "end_date", F.struct(*fields, *rules).alias("w"))
 
 
 def attach_weather(

@@ -11,34 +11,38 @@ from foretell.operators.lookup import attach_weather, weather_snapshot
 
 
 def with_outcome(attached: DataFrame) -> DataFrame:
-    """Adds outcome and method to rows with a weather struct ``w``; null = no score.
+    """Adds outcome and method to rows with a weather struct ``w``; a null outcome
+    means no score, and the method then has no meaning.
 
     Order of rules: places must agree, a known winner settles any market type,
     then thresholds (TEMPERATURE) or weather rules for the nine other types.
     """
     w = F.col("w")
+    ready = set(attached.schema["w"].dataType.names) >= set(O.SETTLEMENT)
+    settled = {name: w[name] for name in O.SETTLEMENT} if ready else O.settlement(w)
     same_place = F.col("location_name").eqNullSafe(w["location_name"])
     decided = F.coalesce(F.col("closed"), F.lit(False)) & F.col("winner").isNotNull()
-    weather_type = F.coalesce(w["weather_type"], F.lit("current"))
     market = F.coalesce(F.col("market_type"), F.lit("WEATHER"))
-    by_weather = F.when(
-        market == "TEMPERATURE", O.compare_threshold(w["temp_f"], F.col("threshold"))
-    ).otherwise(
-        O.weather_outcome(
-            market, w["weather_code"], w["precip_mm"], w["rain_mm"], w["wind_kmh"], w["temp_c"]
-        )
-    )
-    known = weather_type.isin("historical", "current")
-    outcome = F.when(same_place & decided, F.col("winner").cast("int")).when(
-        same_place & known, by_weather
+    # temp_f is null where the row cannot answer TEMPERATURE
+    known = F.coalesce(w["weather_type"], F.lit("current")).isin("historical", "current")
+    by_temperature = O.compare_threshold(w["temp_f"], F.col("threshold"), settled["temp_f_in_c"])
+    bit = O.market_bit(market)
+    by_code = F.when(
+        settled["answers"].bitwiseAND(bit) != 0,
+        (settled["occurs"].bitwiseAND(bit) != 0).cast("int"),
     )
+    by_weather = F.when(market == "TEMPERATURE", F.when(known, by_temperature)).otherwise(by_code)
+    outcome = F.when(decided, F.col("winner").cast("int")).otherwise(by_weather)
     method = (
         F.when(decided, O.WINNER_KNOWN)
-        .when(weather_type == "historical", O.HISTORICAL)
+        .when(w["weather_type"] == "historical", O.HISTORICAL)
         .otherwise(O.SNAPSHOT)
     )
-    return attached.withColumn("actual_outcome", F.when(w.isNotNull(), outcome)).withColumn(
-        "correlation_method", F.when(F.col("actual_outcome").isNotNull(), method)
+    return attached.withColumns(
+        {
+            "actual_outcome": F.when(w.isNotNull() & same_place, outcome),
+            "correlation_method": method,
+        }
     )
 
 

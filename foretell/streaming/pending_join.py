@@ -16,9 +16,10 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from foretell.functions.outcomes import needs_mask, settles_mask
+from foretell.functions.outcomes import needs_mask, settlement
 from foretell.operators.scoring import correlate
 from foretell.schemas import PREDICTION, WEATHER
 
@@ -26,6 +27,15 @@ TTL_HOURS = 24
 SALTS = 8
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 _HOUR_MS = 3_600_000
+# weather rows travel with what they settle, worked out once per row
+SETTLED_WEATHER = T.StructType(
+    [
+        *WEATHER.fields,
+        T.StructField("answers", T.IntegerType()),
+        T.StructField("occurs", T.IntegerType()),
+        T.StructField("temp_f_in_c", T.DoubleType()),
+    ]
+)
 _PAIR = "location_name string, prediction string, weather string"
 
 
@@ -140,14 +150,9 @@ def stream_pending_join(
         PREDICTION,
     ).where(F.col("mask") != 0)  # nothing could ever settle the others
     asks = asks.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
+    ruled = weather.withColumns(settlement(weather)).withWatermark("poll_ts", lateness)
     offers = _tagged(
-        weather.withWatermark("poll_ts", lateness),
-        0,
-        F.lit(None).cast("string"),
-        settles_mask(
-            F.col("weather_type"), F.col("weather_code"), F.col("wind_kmh"), F.col("temp_c"), F.col("temp_f")
-        ),
-        WEATHER,
+        ruled, 0, F.lit(None).cast("string"), F.col("answers"), SETTLED_WEATHER
     ).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     pairs = (
         asks.unionByName(offers)
@@ -161,6 +166,6 @@ def stream_pending_join(
     )
     paired = pairs.select(
         F.from_json("prediction", PREDICTION, _JSON).alias("p"),
-        F.from_json("weather", WEATHER, _JSON).alias("w"),
+        F.from_json("weather", SETTLED_WEATHER, _JSON).alias("w"),
     ).select("p.*", "w")
     return correlate(paired)
