@@ -12,10 +12,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def to_units(col: Column, digits: int) -> Column:
-    # truncation after stepping half a unit away from zero; short, so that long
-    # select lists stay below the JIT compiler's method size
-    half = F.signum(col) * F.lit(0.5)
+def to_units(col: Column, digits: int, signed: bool = True) -> Column:
+    # truncation after stepping half a unit away from zero. Kept short, and shorter
+    # for values known not to be negative, so that long select lists stay below the
+    # method size up to which the JVM compiles generated code.
+    half = F.signum(col) * F.lit(0.5) if signed else F.lit(0.5)
     return (col * F.lit(float(10**digits)) + half).cast("bigint")
 
 
@@ -23,8 +24,8 @@ def from_units(col: Column, digits: int) -> Column:
     return col / F.lit(float(10**digits))
 
 
-def round_to(col: Column, digits: int) -> Column:
-    return from_units(to_units(col, digits), digits)
+def round_to(col: Column, digits: int, signed: bool = True) -> Column:
+    return from_units(to_units(col, digits, signed), digits)
 
 
 def exact_volume(col: Column) -> Column:

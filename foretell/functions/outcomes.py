@@ -34,15 +34,15 @@ def compare_threshold(actual_f: Column, threshold: Column, actual_f_in_c: Column
     """``actual_f_in_c`` spares the conversion where the caller has it already."""
     in_c = f_to_c(actual_f) if actual_f_in_c is None else actual_f_in_c
     actual = F.when(threshold["unit"].eqNullSafe(F.lit("C")), in_c).otherwise(actual_f)
-    kind = threshold["type"]
-    # between() would answer false when only one bound is missing
-    both = threshold["value_min"].isNotNull() & threshold["value_max"].isNotNull()
-    inside = (actual >= threshold["value_min"]) & (actual <= threshold["value_max"])
-    return (
-        F.when(kind == "above", _bit(actual >= threshold["value"]))
-        .when(kind == "below", _bit(actual <= threshold["value"]))
-        .when((kind == "between") & both, _bit(inside))
-    )
+    kind, value = threshold["type"], threshold["value"]
+    least, most = threshold["value_min"], threshold["value_max"]
+    # every kind is an interval; a missing bound leaves an end null, and so the answer
+    endless = F.lit(float("inf"))
+    low = F.when(kind == "above", value).when(kind == "below", -endless)
+    low = low.when((kind == "between") & most.isNotNull(), least)
+    high = F.when(kind == "above", endless).when(kind == "below", value)
+    high = high.when((kind == "between") & least.isNotNull(), most)
+    return _bit((actual >= low) & (actual <= high))
 
 
 def weather_rules(
@@ -77,7 +77,7 @@ def weather_outcome(
 
 
 def prediction_error(probability: Column, outcome: Column) -> Column:
-    return round_to(F.abs(probability - outcome), 4)
+    return round_to(F.abs(probability - outcome), 4, signed=False)
 
 
 def hit(price: Column, outcome: Column) -> Column:

@@ -23,7 +23,7 @@ def choose(col: Column, mapping: dict) -> Column:
     return chain
 
 
-def _strip(col: Column) -> Column:
+def strip(col: Column) -> Column:
     return F.regexp_replace(col, UNICODE + r"^\s+|\s+$", "")
 
 
@@ -37,28 +37,33 @@ def market_type(question: Column) -> Column:
 
 
 def base_rate(type_col: Column) -> Column:
-    return F.coalesce(choose(type_col, C.BASE_RATES), F.lit(C.DEFAULT_BASE_RATE))
+    rates = ", ".join(f"'{name}', {rate}D" for name, rate in C.BASE_RATES.items())
+    return F.coalesce(
+        F.try_element_at(F.expr(f"map({rates})"), type_col), F.lit(C.DEFAULT_BASE_RATE)
+    )
 
 
-def _candidate(question: Column, pattern: str, stop_words: str) -> Column:
-    found = F.regexp_extract(_strip(question), UNICODE + pattern, 1)
-    spaced = F.regexp_replace(_strip(found), UNICODE + r"\s+", " ")
-    return _strip(F.regexp_replace(spaced, rf"(?iU)\s+({stop_words})$", ""))
+def city_captures(question: Column) -> Column:
+    """First capture of every pattern in cascade order; '' where one does not match."""
+    return F.array(*[F.regexp_extract(question, UNICODE + p, 1) for p in C.CITY_PATTERNS])
 
 
-def city_candidates(question: Column) -> Column:
-    """Cleaned capture of every pattern in cascade order; '' where none matched."""
-    return F.array(*[_candidate(question, p, C.CITY_STOP_WORDS) for p in C.CITY_PATTERNS])
+def clean_city(capture: Column, stop_words: str = C.CITY_STOP_WORDS) -> Column:
+    """Single spaces, no trailing stop word."""
+    spaced = F.regexp_replace(strip(capture), UNICODE + r"\s+", " ")
+    return strip(F.regexp_replace(spaced, rf"(?iU)\s+({stop_words})$", ""))
 
 
 def extract_city_basic(question: Column) -> Column:
     """First capture of at least two characters, without gazetteer check."""
+    asked = strip(question)
     captures = [
-        _candidate(question, p, C.CITY_STOP_WORDS_BASIC)
+        F.regexp_extract(asked, UNICODE + p, 1)
         for i, p in enumerate(C.CITY_PATTERNS)
         if i != C.DEGREES_PATTERN
     ]
-    return F.coalesce(*[F.when(F.length(c) >= 2, c) for c in captures])
+    cleaned = F.transform(F.array(*captures), lambda c: clean_city(c, C.CITY_STOP_WORDS_BASIC))
+    return F.get(F.filter(cleaned, lambda c: F.length(c) >= 2), F.lit(0))
 
 
 def nickname_target(city: Column) -> Column:
@@ -92,7 +97,7 @@ def plausible_city(city: Column) -> Column:
 
 def question_key(question: Column) -> Column:
     quiet = F.regexp_replace(F.lower(question), UNICODE + C.QUESTION_NOISE, "")
-    return F.substring(F.md5(_strip(F.regexp_replace(quiet, UNICODE + r"\s+", " "))), 1, 12)
+    return F.substring(F.md5(strip(F.regexp_replace(quiet, UNICODE + r"\s+", " "))), 1, 12)
 
 
 def matched_terms(text: Column) -> Column:

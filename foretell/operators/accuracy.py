@@ -50,13 +50,13 @@ def batch_totals() -> list[Column]:
         F.count_if(reliable).alias("n_reliable"),
         F.count_if(reliable & correct).alias("n_correct"),
         F.count(error).alias("n_error"),
-        F.sum(to_units(error, 4)).alias("error_units"),
+        F.sum(to_units(error, 4, signed=False)).alias("error_units"),
         F.min(error).alias("min_error"),
         F.max(error).alias("max_error"),
         F.sum(volume).alias("volume"),
         _sum_if(correct, volume).alias("hit_volume"),
         F.count(outcome).alias("n_outcome"),
-        _sum_if(outcome.isNotNull(), to_units(F.coalesce(price, F.lit(0.5)), 4)).alias("price_units"),
+        _sum_if(outcome.isNotNull(), to_units(F.coalesce(price, F.lit(0.5)), 4, signed=False)).alias("price_units"),
         F.coalesce(F.sum(outcome.cast("bigint")), F.lit(0)).alias("outcome_sum"),
         F.count_if((shown > 0.5) & (outcome == 0)).alias("n_over"),
         F.count_if((shown <= 0.5) & (outcome == 1)).alias("n_under"),
@@ -76,12 +76,12 @@ def batch_metrics(totals: DataFrame, keep: Sequence[str]) -> DataFrame:
         *keep,
         c("n").alias("total_predictions"),
         c("n_correct").alias("correct_predictions"),
-        round_to(accuracy, 4).alias("accuracy_rate"),
-        F.when(c("n_error") > 0, round_to(avg_error, 4)).otherwise(0.0).alias("avg_prediction_error"),
-        F.coalesce(round_to(c("min_error"), 4), F.lit(0.0)).alias("min_prediction_error"),
-        F.coalesce(round_to(c("max_error"), 4), F.lit(0.0)).alias("max_prediction_error"),
+        round_to(accuracy, 4, signed=False).alias("accuracy_rate"),
+        F.when(c("n_error") > 0, round_to(avg_error, 4, signed=False)).otherwise(0.0).alias("avg_prediction_error"),
+        F.coalesce(round_to(c("min_error"), 4, signed=False), F.lit(0.0)).alias("min_prediction_error"),
+        F.coalesce(round_to(c("max_error"), 4, signed=False), F.lit(0.0)).alias("max_prediction_error"),
         round_to(c("volume").cast("double"), 2).alias("total_volume"),
-        round_to(weighted, 4).alias("volume_weighted_accuracy"),
+        round_to(weighted, 4, signed=False).alias("volume_weighted_accuracy"),
         F.when(c("n_outcome") > 0, round_to(bias, 4)).otherwise(0.0).alias("bias_score"),
         c("n_over").alias("over_prediction_count"),
         c("n_under").alias("under_prediction_count"),
@@ -103,10 +103,10 @@ def stream_totals() -> list[Column]:
         F.count_if(counted).alias("n_counted"),
         F.count_if(correct).alias("n_correct"),
         F.count(error).alias("n_error"),
-        F.sum(to_units(error, 4)).alias("error_units"),
+        F.sum(to_units(error, 4, signed=False)).alias("error_units"),
         _sum_if(counted, volume).alias("volume"),
         _sum_if(correct, volume).alias("hit_volume"),
-        _sum_if(counted, to_units(price, 4)).alias("price_units"),
+        _sum_if(counted, to_units(price, 4, signed=False)).alias("price_units"),
         _sum_if(counted, outcome.cast("bigint")).alias("outcome_sum"),
         F.count_if(counted & (price > 0.5) & (outcome == 0)).alias("n_over"),
         F.count_if(counted & (price <= 0.5) & (outcome == 1)).alias("n_under"),
@@ -126,9 +126,9 @@ def stream_metrics(totals: DataFrame, keep: Sequence) -> DataFrame:
         *keep,
         c("n").alias("total_predictions"),
         c("n_correct").alias("correct_predictions"),
-        round_to(accuracy, 4).alias("accuracy_rate"),
-        F.when(c("n_error") > 0, round_to(avg_error, 4)).otherwise(0.0).alias("avg_prediction_error"),
-        round_to(weighted, 4).alias("volume_weighted_accuracy"),
+        round_to(accuracy, 4, signed=False).alias("accuracy_rate"),
+        F.when(c("n_error") > 0, round_to(avg_error, 4, signed=False)).otherwise(0.0).alias("avg_prediction_error"),
+        round_to(weighted, 4, signed=False).alias("volume_weighted_accuracy"),
         F.when(c("n_counted") > 0, round_to(bias, 4)).otherwise(0.0).alias("bias_score"),
         c("n_over").alias("over_prediction_count"),
         c("n_under").alias("under_prediction_count"),

@@ -141,7 +141,7 @@ def mispricing(price: Column, market_type: Column, resolved: Column) -> tuple[Co
     base = base_rate(market_type)
     deviation = F.abs(price - base)
     flag = (deviation > C.MISPRICING_DEVIATION) & ~F.coalesce(resolved, F.lit(False))
-    return base, round_to(deviation, 4), F.coalesce(flag, F.lit(False))
+    return base, round_to(deviation, 4, signed=False), F.coalesce(flag, F.lit(False))
 
 
 def mispricing_open(records: DataFrame, as_of) -> DataFrame:
@@ -206,7 +206,7 @@ def cross_market_sum(records: DataFrame) -> DataFrame:
         F.coalesce(F.col("end_date").cast("string"), F.lit("")).alias("date"),
     ).agg(
         F.count(F.lit(1)).alias("markets"),
-        F.sum(to_units(F.coalesce(F.col("price"), F.lit(0.0)), 4)).alias("units"),
+        F.sum(to_units(F.coalesce(F.col("price"), F.lit(0.0)), 4, signed=False)).alias("units"),
     )
     # exact in 10^-4 units, so a sum of exactly 1.01 does not fire
     limit = 10_000 + round(C.CROSS_MARKET_EXCESS * 10_000)

@@ -40,7 +40,10 @@ def question_cities(questions: DataFrame, gazetteer: DataFrame, question: str =
         questions.where(F.col(question).isNotNull())
         .select(question)
         .distinct()
-        .select(question, F.posexplode(X.city_candidates(F.col(question))).alias("place", "city"))
+        .withColumn("__asked", X.strip(F.col(question)))
+        .select(question, F.posexplode(X.city_captures(F.col("__asked"))).alias("place", "__capture"))
+        .where(F.col("__capture") != "")
+        .select(question, "place", X.clean_city(F.col("__capture")).alias("city"))
         .where(X.plausible_city(F.col("city")))
     )
     known = candidates.join(names, candidates["city"] == names["city_name"], "left_semi")

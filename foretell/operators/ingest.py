@@ -21,34 +21,41 @@ def parse_market(markets: DataFrame, gazetteer: DataFrame, as_of) -> DataFrame:
     outcome type or without a valid city are dropped."""
     usable = markets.where(F.col("probability").isNotNull() & (F.col("outcomeType") == "BINARY"))
     placed = extract_city(usable, gazetteer).where(F.col("city").isNotNull())
-    p = F.col("probability")
     resolved = F.coalesce(F.col("isResolved"), F.lit(False))
     decided = resolved & F.coalesce(F.col("resolution").isin("YES", "NO"), F.lit(False))
-    outcome = F.when(decided, (F.col("resolution") == "YES").cast("int"))
-    mtype = X.market_type(F.col("question"))
-    base, deviation, flag = mispricing(p, mtype, resolved)
-    return placed.select(
+    # worked out in a select of its own: the record names each of these several times
+    typed = placed.select(
+        *markets.columns,
+        "city",
+        X.market_type(F.col("question")).alias("mtype"),
+        resolved.alias("resolved"),
+        F.when(decided, F.col("resolution") == "YES").alias("won"),
+    )
+    p, won, mtype = F.col("probability"), F.col("won"), F.col("mtype")
+    base, deviation, flag = mispricing(p, mtype, F.col("resolved"))
+    price = round_to(p, 4, signed=False)
+    return typed.select(
         F.col("id").alias("condition_id"),
         F.col("slug").alias("question_id"),
         "question",
         F.col("city").alias("location_name"),
         mtype.alias("market_type"),
-        F.when(decided, "closed").otherwise("open").alias("market_status"),
-        round_to(p, 4).alias("yes_price"),
-        round_to(F.lit(1.0) - p, 4).alias("no_price"),
-        round_to(p, 4).alias("price"),
+        F.when(won.isNotNull(), "closed").otherwise("open").alias("market_status"),
+        price.alias("yes_price"),
+        round_to(F.lit(1.0) - p, 4, signed=False).alias("no_price"),
+        price.alias("price"),
         F.lit(1.0).alias("price_sum"),
-        F.when(decided, F.col("resolution") == "YES").alias("winner"),
-        resolved.alias("closed"),
+        won.alias("winner"),
+        F.col("resolved").alias("closed"),
         ms_to_iso(F.col("closeTime")).alias("end_date_iso"),
         mtype.alias("weather_type"),
         flag.alias("is_arbitrage"),
         base.alias("base_rate"),
         deviation.alias("deviation_from_base"),
         F.lit(True).alias("is_valid"),
-        outcome.alias("actual_outcome"),
-        prediction_error(p, outcome).alias("prediction_error"),
-        (~resolved).alias("needs_weather_check"),
+        won.cast("int").alias("actual_outcome"),
+        prediction_error(p, won.cast("int")).alias("prediction_error"),
+        (~F.col("resolved")).alias("needs_weather_check"),
         F.lit("manifold").alias("source"),
         F.col("url").alias("market_url"),
         "resolution",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -33,15 +34,24 @@ def local_session(cpus: int | str = "*", app: str = "foretell") -> SparkSession:
     return configure(builder.getOrCreate())
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder under ``spark.checkpoint.dir``, which every executor can reach.
+@cache
+def _local_root(application: str) -> str:
+    return tempfile.mkdtemp(prefix="foretell-")
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local session may fall back to a temporary folder of its machine.
+    Only a local session without that setting gets a temporary folder of its machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="foretell-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return _local_root(spark.sparkContext.applicationId)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path for one run's output, table or stream state."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"

@@ -50,9 +50,8 @@ def kind(name: str) -> str:
     return name
 
 
-def compare(spark, con, name: str, query, sql: str, folder: Path) -> str:
+def compare(df, con, sql: str) -> str:
     """'' when equal, else the first difference."""
-    df = query(spark, str(folder))
     mine = rows_of(df.columns, df.collect())
     relation = con.sql(sql)
     theirs = rows_of(list(relation.columns), relation.fetchall())
@@ -88,7 +87,7 @@ def main() -> int:
         start = time.time()
         try:
             if name in oracles:
-                problem = compare(spark, con, name, todo[name], oracles[name], folder)
+                problem = compare(todo[name](spark, str(folder)), con, oracles[name])
             else:
                 n = todo[name](spark, str(folder)).count()
                 problem = f"rows only: {n}"
