@@ -3,9 +3,12 @@
 Every distinct (place, day) that predictions ask for is resolved once, on tables
 whose size is the number of keys; the wide prediction rows then take part in a
 single equi-join. ``distinct`` combines map-side, so a (place, day) that holds a
-third of all predictions is one key row. In the final join such a key lies on
-the streamed side of a left join, which AQE splits by size; nothing is hinted as
-broadcast, Spark's own measured size decides.
+third of all predictions is one key row.
+
+With ``store`` the resolved keys are written before the join. Spark then plans it
+from the table's true size: broadcast below ``spark.sql.autoBroadcastJoinThreshold``,
+and the predictions are not shuffled at all, else a sort-merge join whose hot keys
+lie on the streamed side of a left join, where AQE splits them. Nothing is hinted.
 """
 
 from __future__ import annotations
@@ -63,13 +66,18 @@ def attach_weather(
     exact: DataFrame,
     current: DataFrame,
     asked: DataFrame | None = None,
+    store: str | None = None,
 ) -> DataFrame:
     """Predictions plus struct ``w`` (null where nothing matches).
 
     ``asked`` may be any cheaper frame whose (location_name, end_date) pairs cover
-    those of ``predictions``, such as the raw polls before deduplication.
+    those of ``predictions``, such as the raw polls before deduplication. ``store``
+    is a new folder all executors reach.
     """
     resolved = resolve_keys(predictions if asked is None else asked, exact, current)
+    if store:
+        resolved.write.parquet(store)
+        resolved = predictions.sparkSession.read.schema(resolved.schema).parquet(store)
     resolved = resolved.select(
         F.col("location_name").alias("r_location"), F.col("end_date").alias("r_end_date"), "w"
     )

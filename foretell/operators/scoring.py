@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foretell.functions import outcomes as O
@@ -10,39 +10,59 @@ from foretell.functions.times import instant, latency_between_polls, latency_sig
 from foretell.operators.lookup import attach_weather, weather_snapshot
 
 
-def with_outcome(attached: DataFrame) -> DataFrame:
-    """Adds outcome and method to rows with a weather struct ``w``; a null outcome
-    means no score, and the method then has no meaning.
+def _ready(attached: DataFrame) -> DataFrame:
+    """Weather structs that do not come from ``attach_weather`` get their masks here."""
+    fields = attached.schema["w"].dataType.names
+    if set(fields) >= set(O.SETTLEMENT):
+        return attached
+    w = F.col("w")
+    rules = [rule.alias(name) for name, rule in O.settlement(w).items()]
+    scored = F.when(w.isNotNull(), F.struct(*[w[f] for f in fields], *rules))
+    return attached.withColumn("w", scored)
+
+
+def _market() -> Column:
+    return F.coalesce(F.col("market_type"), F.lit("WEATHER"))
+
+
+def _decided() -> Column:
+    return F.coalesce(F.col("closed"), F.lit(False)) & F.col("winner").isNotNull()
+
+
+def _scorable() -> Column:
+    """True exactly where ``_outcome`` has an answer, and much shorter: Spark copies a
+    filter below the select it belongs to, so this runs in place of the full rules."""
+    need = O.needs_mask(_market(), F.col("closed"), F.col("winner"), F.col("threshold"))
+    same_place = F.col("location_name").eqNullSafe(F.col("w.location_name"))
+    return (F.col("w.answers").bitwiseAND(need) != 0) & same_place
 
-    Order of rules: places must agree, a known winner settles any market type,
-    then thresholds (TEMPERATURE) or weather rules for the nine other types.
-    """
+
+def _outcome() -> Column:
+    """Outcome of a scorable row: a known winner settles any market type, then
+    thresholds (TEMPERATURE) or weather rules for the nine other types."""
     w = F.col("w")
-    ready = set(attached.schema["w"].dataType.names) >= set(O.SETTLEMENT)
-    settled = {name: w[name] for name in O.SETTLEMENT} if ready else O.settlement(w)
-    same_place = F.col("location_name").eqNullSafe(w["location_name"])
-    decided = F.coalesce(F.col("closed"), F.lit(False)) & F.col("winner").isNotNull()
-    market = F.coalesce(F.col("market_type"), F.lit("WEATHER"))
-    # temp_f is null where the row cannot answer TEMPERATURE
-    known = F.coalesce(w["weather_type"], F.lit("current")).isin("historical", "current")
-    by_temperature = O.compare_threshold(w["temp_f"], F.col("threshold"), settled["temp_f_in_c"])
-    bit = O.market_bit(market)
-    by_code = F.when(
-        settled["answers"].bitwiseAND(bit) != 0,
-        (settled["occurs"].bitwiseAND(bit) != 0).cast("int"),
+    by_temperature = O.compare_threshold(w["temp_f"], F.col("threshold"), w["temp_f_in_c"])
+    by_code = (w["occurs"].bitwiseAND(O.market_bit(_market())) != 0).cast("int")
+    return (
+        F.when(_decided(), F.col("winner").cast("int"))
+        .when(_market() == "TEMPERATURE", by_temperature)
+        .otherwise(by_code)
     )
-    by_weather = F.when(market == "TEMPERATURE", F.when(known, by_temperature)).otherwise(by_code)
-    outcome = F.when(decided, F.col("winner").cast("int")).otherwise(by_weather)
-    method = (
-        F.when(decided, O.WINNER_KNOWN)
-        .when(w["weather_type"] == "historical", O.HISTORICAL)
+
+
+def _method() -> Column:
+    return (
+        F.when(_decided(), O.WINNER_KNOWN)
+        .when(F.col("w.weather_type") == "historical", O.HISTORICAL)
         .otherwise(O.SNAPSHOT)
     )
-    return attached.withColumns(
-        {
-            "actual_outcome": F.when(w.isNotNull() & same_place, outcome),
-            "correlation_method": method,
-        }
+
+
+def with_outcome(attached: DataFrame) -> DataFrame:
+    """Adds outcome and method to rows with a weather struct ``w``. Rows that cannot
+    be scored have a null outcome, and their method has no meaning."""
+    return _ready(attached).withColumns(
+        {"actual_outcome": F.when(_scorable(), _outcome()), "correlation_method": _method()}
     )
 
 
@@ -66,7 +86,8 @@ def flatten_weather(df: DataFrame, struct: str = "w") -> DataFrame:
 
 def correlate(attached: DataFrame, as_of=None) -> DataFrame:
     """Scored rows only. Latency is poll to ``as_of``, or poll to weather poll."""
-    scored = with_outcome(attached).where(F.col("actual_outcome").isNotNull())
+    scored = _ready(attached).where(_scorable())
+    scored = scored.withColumns({"actual_outcome": _outcome(), "correlation_method": _method()})
     price = F.coalesce(F.col("price"), F.lit(0.5))
     if as_of is None:
         latency = latency_between_polls(F.col("poll_ts"), F.col("w.poll_ts"))
@@ -80,12 +101,18 @@ def correlate(attached: DataFrame, as_of=None) -> DataFrame:
 
 def failed_correlations(attached: DataFrame) -> DataFrame:
     """Matched to weather but not scorable."""
-    return with_outcome(attached.where(F.col("w").isNotNull())).where(
-        F.col("actual_outcome").isNull()
+    return _ready(attached.where(F.col("w").isNotNull())).where(
+        ~F.coalesce(_scorable(), F.lit(False))
     )
 
 
-def score(predictions: DataFrame, weather: DataFrame, as_of=None, asked: DataFrame | None = None) -> DataFrame:
-    """Predictions x weather -> correlations."""
+def score(
+    predictions: DataFrame,
+    weather: DataFrame,
+    as_of=None,
+    asked: DataFrame | None = None,
+    store: str | None = None,
+) -> DataFrame:
+    """Predictions and weather -> correlations. See ``attach_weather`` for the options."""
     exact, current = weather_snapshot(weather)
-    return correlate(attach_weather(predictions, exact, current, asked), as_of)
+    return correlate(attach_weather(predictions, exact, current, asked, store), as_of)

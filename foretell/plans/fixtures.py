@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from foretell.functions.outcomes import c_to_f  # noqa: F401  (re-exported for tests)
 from foretell.operators.accuracy import accuracy, drop_snapshot
 from foretell.operators.scoring import score
-from foretell.sources.session import configure
+from foretell.sources.session import configure, scratch
 
 AS_OF = "2024-01-31 00:00:00"
 
@@ -110,7 +110,7 @@ class Fixtures:
 
     @cached_property
     def correlations(self) -> DataFrame:
-        return score(self.predictions, self.weather, AS_OF)
+        return score(self.predictions, self.weather, AS_OF, store=scratch(self.spark, "resolved"))
 
     # -- polls <- lineitem: several records per market ---------------------------
     @cached_property
