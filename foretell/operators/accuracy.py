@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +18,8 @@ from foretell.functions.outcomes import SNAPSHOT, hit
 from foretell.functions.times import instant
 
 GROUP = ("location_name", "market_type")
+# totals that do not merge by addition
+_MERGE = {"min_error": F.min, "max_error": F.max}
 
 
 def group_keys() -> list[Column]:
@@ -162,14 +165,32 @@ def hopping(
     slide: str = "15 minutes",
     variant: str = "stream",
 ) -> DataFrame:
-    """Sliding-window metrics, batch or streaming: the plan is the same."""
+    """Sliding-window metrics of a batch or stream.
+
+    In a batch, rows are first summed per slide-long pane and only the panes enter
+    the overlapping windows, so no row is copied once per window. A stream updates
+    its windows directly.
+    """
     totals, metrics = {
         "batch": (batch_totals, batch_metrics),
         "stream": (stream_totals, stream_metrics),
     }[variant]
-    grouped = correlations.groupBy(F.window(ts, window, slide).alias("w"), *group_keys())
+    keys = group_keys()
+    whole_panes = pd.Timedelta(window) % pd.Timedelta(slide) == pd.Timedelta(0)
+    if correlations.isStreaming or not whole_panes:
+        grouped = correlations.groupBy(F.window(ts, window, slide).alias("w"), *keys).agg(*totals())
+    else:
+        panes = correlations.groupBy(F.window(ts, slide).alias("pane"), *keys).agg(*totals())
+        merged = [
+            _MERGE.get(c, F.sum)(c).alias(c) for c in panes.columns if c not in ("pane", *GROUP)
+        ]
+        grouped = (
+            panes.withColumn("at", F.col("pane.start"))
+            .groupBy(F.window("at", window, slide).alias("w"), *GROUP)
+            .agg(*merged)
+        )
     bounds = [F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end")]
-    return metrics(grouped.agg(*totals()), [*GROUP, *bounds])
+    return metrics(grouped, [*GROUP, *bounds])
 
 
 def label_window(aggregates: DataFrame, as_of, hours: int = 1) -> DataFrame:

@@ -498,3 +498,24 @@ def test_observed_counters_need_no_second_pass(spark):
     df, watch = M.observe_counters(spark.range(10), "run", even=F.col("id") % 2 == 0)
     df.write.format("noop").mode("overwrite").save()
     assert watch.get == {"rows": 10, "even": 5}
+
+
+@pytest.mark.parametrize("variant", ["batch", "stream"])
+def test_panes_equal_windows(spark, variant):
+    """Summing panes first gives what windowing every row gives."""
+    from foretell import hopping
+    from foretell.operators import accuracy as A
+
+    rng = random.Random(2)
+    base = datetime(2026, 5, 1)
+    methods = ["winner_known", "current_snapshot", "historical_weather"]
+    rows = [
+        (rng.choice("AB"), "RAIN", rng.randrange(101) / 100, rng.choice([0, 1, None]), rng.choice([0.25, None]), rng.choice(methods),
+         rng.choice([1.5, 0.0, None]), base + timedelta(minutes=rng.randrange(300)))
+        for _ in range(400)
+    ]
+    df = spark.createDataFrame(rows, CORR + ", poll_ts timestamp")
+    totals, metrics = (A.batch_totals, A.batch_metrics) if variant == "batch" else (A.stream_totals, A.stream_metrics)
+    direct = df.groupBy(F.window("poll_ts", "1 hour", "15 minutes").alias("w"), *A.group_keys()).agg(*totals())
+    direct = metrics(direct, [*A.GROUP, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end")])
+    assert sorted(map(str, hopping(df, variant=variant).collect())) == sorted(map(str, direct.collect()))
