@@ -11,7 +11,6 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foretell.functions.outcomes import c_to_f  # noqa: F401  (re-exported for tests)
 from foretell.operators.accuracy import accuracy, drop_snapshot
 from foretell.operators.scoring import score
 from foretell.sources.session import configure, scratch
