@@ -4,9 +4,10 @@ The tree grows level by level on counts of distinct (host, path) branches, not o
 a segment with a digit, or one of very many rare ones under its parent, becomes a wildcard
 ``*``; levels below ``LEVELS`` fold into ``**``. Sibling templates of a parent whose share
 of blocked pages does not differ by two standard errors are merged. Labels are the pages
-that a rule judges. A template's share of blocked pages is smoothed towards its host's, the
-host's towards its domain's (last two names), the domain's towards that of all pages; a
-template whose smoothed share is at least ``THRESHOLD`` is rejected.
+that a rule judges. A host's share of blocked pages is smoothed towards its domain's (last
+two names), the domain's towards that of all pages, and a template's towards the middle
+between its host's and one half: other branches of a host are a hint, but without labels
+of its own no template reaches ``THRESHOLD``, from which it is rejected.
 
 Cases: a null url and one without ``://`` have an empty host and path, which no rule fits;
 they share one template. Repeated rows get equal verdicts; null ids keep their rows. An
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-LEVELS, STRENGTH, THRESHOLD, ERRORS = 3, 5.0, 0.5, 2.0
+LEVELS, STRENGTH, THRESHOLD, ERRORS = 3, 5.0, 0.8, 2.0
 #: Children of a parent from which on rare ones, with less than the share, are wildcards.
 MANY, RARE = 20, 0.05
 
@@ -100,10 +101,11 @@ def template_shares(counts: DataFrame) -> DataFrame:
         .join(domains, "domain")
         .select("host", _share(F.col("blocked"), F.col("labelled"), F.col("domain_share")).alias("host_share"))
     )
-    own = counts.join(hosts, "host").withColumns(
+    hinted = counts.join(hosts, "host").withColumn("prior", (F.col("host_share") + 0.5) / 2)
+    own = hinted.withColumns(
         {
             "parent": F.regexp_replace("template", r"/[^/]*$", ""),
-            "own_share": _share(F.col("blocked"), F.col("labelled"), F.col("host_share")),
+            "own_share": _share(F.col("blocked"), F.col("labelled"), F.col("prior")),
         }
     )
     own = own.withColumn("error", F.sqrt(F.col("own_share") * (1 - F.col("own_share")) / (F.col("labelled") + STRENGTH)))
@@ -119,7 +121,7 @@ def template_shares(counts: DataFrame) -> DataFrame:
         "host",
         "template",
         F.min("template").over(branch).alias("branch"),
-        _share(F.sum("blocked").over(branch), F.sum("labelled").over(branch), F.col("host_share")).alias("share"),
+        _share(F.sum("blocked").over(branch), F.sum("labelled").over(branch), F.col("prior")).alias("share"),
     )
 
 
