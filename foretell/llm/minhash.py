@@ -264,8 +264,6 @@ def block_links(ids, comps, sets: list[np.ndarray], percent: int) -> list[tuple[
 
 def _family_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (between component ids) inside families; ``members``: family, rep, comp, n."""
-    from collections.abc import Iterator
-
     import pyarrow as pa
 
     size = members.groupBy("family").agg(
@@ -282,15 +280,12 @@ def _family_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFram
         .join(sets.withColumnRenamed("doc_id", "rep"), "rep")
     )
 
-    def run(key, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, comps, found = [], [], []
-        for batch in batches:
-            ids += batch.column("rep").to_pylist()
-            comps += batch.column("comp").to_pylist()
-            found += [np.frombuffer(x, np.uint64) for x in batch.column("members").to_pylist()]
-        links = block_links(ids, comps, found, percent) if len(set(comps)) > 1 else []
+    def run(key, members):
+        comps = members.column("comp").to_pylist()
+        found = [np.frombuffer(x, np.uint64) for x in members.column("members").to_pylist()]
+        links = block_links(members.column("rep").to_pylist(), comps, found, percent) if len(set(comps)) > 1 else []
         a, b = (list(c) for c in zip(*links)) if links else ([], [])
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return dealt.groupBy("family", "i", "j").applyInArrow(run, "a bigint, b bigint")
 
