@@ -12,6 +12,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Digits kept when prices, errors and rates are summed; a sum of 9 * 10^9 values up to 1 fits a bigint.
+FINE = 9
+
+
 def to_units(col: Column, digits: int, signed: bool = True) -> Column:
     # truncation after stepping half a unit away from zero. Kept short, and shorter
     # for values known not to be negative, so that long select lists stay below the
@@ -30,7 +34,7 @@ def round_to(col: Column, digits: int, signed: bool = True) -> Column:
 
 def exact_volume(col: Column) -> Column:
     """Volumes are summed as decimals: no overflow, no order dependence."""
-    return col.cast("decimal(24,6)")
+    return col.cast("decimal(38,9)")
 
 
 def fixed(col: Column, digits: int) -> Column:

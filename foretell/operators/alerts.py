@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foretell import constants as C
-from foretell.functions.numeric import fixed, from_units, percent, round_to, signed_fixed, to_units
+from foretell.functions.numeric import FINE, fixed, from_units, percent, round_to, signed_fixed, to_units
 from foretell.functions.text import base_rate
 from foretell.functions.times import instant
 from foretell.operators.baseline import baselines
-from foretell.operators.toprow import first_seen, latest_per_key
+from foretell.operators.toprow import first_per_key, first_seen, latest_per_key
 from foretell.schemas import ALERT
 
 BATCH_CRITICAL_RATIO = 0.6
@@ -206,12 +206,12 @@ def cross_market_sum(records: DataFrame) -> DataFrame:
         F.coalesce(F.col("end_date").cast("string"), F.lit("")).alias("date"),
     ).agg(
         F.count(F.lit(1)).alias("markets"),
-        F.sum(to_units(F.coalesce(F.col("price"), F.lit(0.0)), 4, signed=False)).alias("units"),
+        F.sum(to_units(F.coalesce(F.col("price"), F.lit(0.0)), FINE, signed=False)).alias("units"),
     )
-    # exact in 10^-4 units, so a sum of exactly 1.01 does not fire
-    limit = 10_000 + round(C.CROSS_MARKET_EXCESS * 10_000)
+    # exact in fine units, so a sum of exactly 1.01 does not fire; rounded only for show
+    limit = 10**FINE + round(C.CROSS_MARKET_EXCESS * 10**FINE)
     return groups.where((F.col("markets") >= 2) & (F.col("units") > limit)).select(
-        "location_name", "market_type", "date", "markets", from_units(F.col("units"), 4).alias("price_sum")
+        "location_name", "market_type", "date", "markets", round_to(from_units(F.col("units"), FINE), 4).alias("price_sum")
     )
 
 
@@ -239,7 +239,8 @@ def cross_market(records: DataFrame, as_of) -> DataFrame:
 
 
 def latest_health(health: DataFrame) -> DataFrame:
-    return latest_per_key(health, ["component"], "recorded_at")
+    ties = [F.xxhash64(*sorted(health.columns))]
+    return first_per_key(health, ["component"], [F.col("recorded_at").desc(), *ties])
 
 
 def never_reported(expected: DataFrame, health: DataFrame) -> DataFrame:

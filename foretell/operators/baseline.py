@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foretell import constants as C
-from foretell.functions.numeric import round_to, to_units
+from foretell.functions.numeric import FINE, round_to, to_units
 
 DAY_MICROS = 86_400_000_000
 
@@ -31,18 +31,19 @@ def spread_of(total: Column, squares: Column, n: Column) -> Column:
 
 
 def mean_std(df: DataFrame, keys: Sequence[str], value: Column) -> DataFrame:
-    units = to_units(value, 4)
+    """Mean and population deviation of the values as they are, rounded once at the end."""
+    units = to_units(value, FINE)
+    wide = units.cast("decimal(19,0)")
     sums = df.groupBy(*keys).agg(
         F.count(units).alias("n"),
-        F.coalesce(F.sum(units), F.lit(0)).alias("s"),
-        F.coalesce(F.sum(units * units), F.lit(0)).alias("q"),
-    )
-    return sums.select(
-        *keys,
-        "n",
-        round_to(mean_of(F.col("s"), F.col("n")), 4).alias("mean"),
-        round_to(spread_of(F.col("s"), F.col("q"), F.col("n")), 4).alias("std"),
+        F.coalesce(F.sum(units), F.lit(0)).cast("double").alias("s"),
+        F.coalesce(F.sum(wide * wide), F.lit(0)).cast("double").alias("q"),
     )
+    one = F.lit(float(10**FINE))
+    mean = F.when(F.col("n") > 0, F.col("s") / one / F.col("n")).otherwise(0.0)
+    scatter = F.greatest(F.col("q") - F.col("s") * F.col("s") / F.col("n"), F.lit(0.0))
+    std = F.when(F.col("n") > 0, F.sqrt(scatter / F.col("n")) / one).otherwise(0.0)
+    return sums.select(*keys, "n", round_to(mean, 4).alias("mean"), round_to(std, 4).alias("std"))
 
 
 def over_history(rows: DataFrame, ts: str, days: int, measures) -> DataFrame:

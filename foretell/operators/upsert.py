@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foretell.operators.toprow import first_per_key
+
 # -- fixed values: which columns a conflict overwrites ---------------------------
 CORRELATION_UPDATES = ("actual_outcome", "prediction_error", "correlation_method", "correlation_latency")
 AGGREGATE_KEYS = ("location_name", "market_type", "window_start")
@@ -20,10 +22,26 @@ CITY_KEYS = ("city_name",)
 CITY_UPDATES = ("lat", "lon", "timezone", "updated_at")
 
 
-def insert_missing(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Conflict -> do nothing. Only the keys of ``existing`` take part in the join."""
-    fresh = incoming.join(existing.select(*keys), list(keys), "left_anti")
-    return existing.unionByName(fresh.select(*existing.columns))
+def _known(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Rows all of whose keys are given; only they can conflict."""
+    known = F.lit(True)
+    for k in keys:
+        known = known & df[k].isNotNull()
+    return known
+
+
+def insert_missing(
+    existing: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
+) -> DataFrame:
+    """Conflict -> do nothing. Only the keys of ``existing`` take part in the join.
+
+    Of incoming rows with one key the first in ``order`` is inserted (any one without it);
+    rows with a null key never conflict and are all inserted.
+    """
+    fresh = incoming.where(_known(incoming, keys)).join(existing.select(*keys), list(keys), "left_anti")
+    fresh = first_per_key(fresh, keys, [F.col(c) for c in order] or [F.lit(1)])
+    loose = incoming.where(~_known(incoming, keys))
+    return existing.unionByName(fresh.select(*existing.columns)).unionByName(loose.select(*existing.columns))
 
 
 def upsert(
@@ -35,8 +53,13 @@ def upsert(
     """Conflict -> overwrite ``update_cols``, keep the rest. Keys unique on both sides.
 
     One full outer join: each side is exchanged once, and never if both are
-    stored bucketed by the keys. Null keys never conflict.
+    stored bucketed by the keys. Rows with a null key never conflict; they pass the join by,
+    so many of them are not one task's work.
     """
+    loose = [
+        df.where(~_known(df, keys)).select(*existing.columns) for df in (existing, incoming)
+    ]
+    existing, incoming = (df.where(_known(df, keys)) for df in (existing, incoming))
     old = existing.select(*[F.col(c).alias(f"o_{c}") for c in existing.columns], F.lit(True).alias("o__"))
     new = incoming.select(*[F.col(c).alias(f"n_{c}") for c in existing.columns], F.lit(True).alias("n__"))
     on = [old[f"o_{k}"] == new[f"n_{k}"] for k in keys]
@@ -48,7 +71,7 @@ def upsert(
             out.append(F.when(given, F.col(f"n_{c}")).otherwise(F.col(f"o_{c}")).alias(c))
         else:
             out.append(F.when(stored, F.col(f"o_{c}")).otherwise(F.col(f"n_{c}")).alias(c))
-    return joined.select(*out)
+    return joined.select(*out).unionByName(loose[0]).unionByName(loose[1])
 
 
 def fold_changes(

@@ -67,7 +67,8 @@ def decode(
     text = F.col(value)
     if dict(df.dtypes)[value] == "binary":
         text = F.decode(text, "UTF-8")
-    whole = text.rlike(r"(?s)^\s*\{.*\}\s*$")
+    # from_json() makes a struct of nulls of a malformed record, and of one that is no object
+    whole = F.try_parse_json(text).isNotNull() & F.ltrim(text).startswith("{")
     candidates: list[Column] = [F.when(whole, F.from_json(text, schema, options))]
     if avro_schemas and has_avro(spark):
         from pyspark.sql.avro.functions import from_avro

@@ -25,6 +25,8 @@ from foretell.schemas import PREDICTION, WEATHER
 
 TTL_HOURS = 24
 SALTS = 8
+#: Rows of a key handled before their pairs are passed on.
+_STEP = 10_000
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 _HOUR_MS = 3_600_000
 # weather rows travel with what they settle, worked out once per row
@@ -61,15 +63,18 @@ class PendingJoin(StatefulProcessor):
         waiting: dict | None = None
         added: dict = {}
         newest = 0
-        for chunk in rows:
+        # the batch's rows of a key come in chunks of any size and order
+        batch = pd.concat(list(rows)).sort_values(["at", "kind", "id"], na_position="first")
+        for start in range(0, len(batch), _STEP):
             pairs = []
-            chunk = chunk.sort_values(["at", "kind", "id"], na_position="first")
+            chunk = batch.iloc[start : start + _STEP]
             for kind, id_, row_mask, row_at, text in zip(
                 chunk["kind"], chunk["id"], chunk["mask"], chunk["at"], chunk["payload"]
             ):
                 newest = max(newest, row_at)
                 if kind == 1:
-                    if payload is not None and mask & row_mask and at >= row_at - self.ttl:
+                    # a poll that nothing can settle only replaces the waiting one of its market
+                    if row_mask and payload is not None and mask & row_mask and at >= row_at - self.ttl:
                         pairs.append((text, payload))
                     else:
                         entry = (id_, text, int(row_mask), int(row_at))
@@ -84,7 +89,7 @@ class PendingJoin(StatefulProcessor):
                     waiting.update(added)
                 live = {i: e for i, e in waiting.items() if e[3] >= at - self.ttl}
                 pairs += [(e[1], payload) for e in live.values() if e[2] & mask]
-                waiting = {i: e for i, e in live.items() if not e[2] & mask}
+                waiting = {i: e for i, e in live.items() if e[2] and not e[2] & mask}
                 wanted = 0
                 for entry in waiting.values():
                     wanted |= entry[2]
@@ -148,7 +153,7 @@ def stream_pending_join(
         F.col("condition_id").cast("string"),
         needs_mask(F.col("market_type"), F.col("closed"), F.col("winner"), F.col("threshold")),
         PREDICTION,
-    ).where(F.col("mask") != 0)  # nothing could ever settle the others
+    )
     asks = asks.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
     ruled = weather.withColumns(settlement(weather)).withWatermark("poll_ts", lateness)
     offers = _tagged(

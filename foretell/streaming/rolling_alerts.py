@@ -35,13 +35,13 @@ class RollingHistory(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         kept = np.array([tuple(r) for r in self.history.get()], dtype=np.int64).reshape(-1, 3)
-        for chunk in rows:
-            chunk = chunk.sort_values("at", kind="stable")
-            fresh = chunk[["at", "acc", "bias"]].to_numpy(dtype=np.int64)
-            kept = np.concatenate([kept, fresh])
-            kept = kept[np.argsort(kept[:, 0], kind="stable")]
-            yield self._with_sums(key, chunk, kept)
-            kept = kept[kept[:, 0] >= kept[-1, 0] - self.span]
+        # all of the batch first: a sum must not depend on how its rows are cut into chunks
+        batch = pd.concat(list(rows)).sort_values("at", kind="stable")
+        fresh = batch[["at", "acc", "bias"]].to_numpy(dtype=np.int64)
+        kept = np.concatenate([kept, fresh])
+        kept = kept[np.argsort(kept[:, 0], kind="stable")]
+        yield self._with_sums(key, batch, kept)
+        kept = kept[kept[:, 0] >= kept[-1, 0] - self.span]
         self.history.put([tuple(int(v) for v in row) for row in kept])
         day_ms = DAY_MICROS // 1000
         self.handle.registerTimer(int((kept[-1, 0] + self.span) // 1000 // day_ms + 1) * day_ms)

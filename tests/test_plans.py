@@ -42,9 +42,7 @@ def test_scan_reads_only_what_it_needs(spark):
 
 
 def test_health_filter_reaches_the_scan(spark):
-    assert re.search(r"PushedFilters: \[.*GreaterThan\(ts", plan(spark, "health_semi_join")) or "recorded_at" in plan(
-        spark, "health_semi_join"
-    )
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThan\w*\(ts", plan(spark, "health_semi_join"))
 
 
 def test_flagship_columns(spark):
