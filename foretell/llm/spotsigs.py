@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from foretell.llm.common import texts_of
+from foretell.llm.common import stored, texts_of
 
 CHAIN = 3
 # fixed values: common words of four languages
@@ -117,7 +117,10 @@ def next_texts(texts: DataFrame, carried: Column) -> DataFrame:
     # a row for each bucket
     all_heads = Window.orderBy("bucket")
     before = F.lag("bucket").over(all_heads)
-    heads = heads.select("head", F.coalesce(before, F.max("bucket").over(Window.partitionBy())).alias("before"))
+    # written, so that Spark knows how small it is and sends it to the texts, not the texts to it
+    heads = stored(
+        heads.select("head", F.coalesce(before, F.max("bucket").over(Window.partitionBy())).alias("before")), "heads"
+    )
     placed = texts.select("doc_id", "text", carried.alias("own"), bucket.alias("bucket"), F.lit(False).alias("copy"))
     copies = (
         texts.join(heads, F.col("doc_id").eqNullSafe(F.col("head")))
