@@ -364,6 +364,6 @@ def near_groups(
     )
     return (
         found.join(named, ["set_hi", "set_lo"], "left")
-        .withColumn("component_id", F.coalesce("class_root", "doc_id"))
+        .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_root", "doc_id")))
         .select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
     )
