@@ -31,10 +31,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from foretell.llm.common import texts_of
-from foretell.llm.vocabulary import Memo, by_run, run_words
+from foretell.llm.vocabulary import Memo
 
-#: Runs, and words, whose ids a Python worker remembers.
-REMEMBERED = 300_000
+#: Runs between blanks whose ids a Python worker remembers.
+REMEMBERED = 400_000
 _ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
 SCHEMA = (
     "shard int, row bigint, n_tokens int, id_bytes int, ids binary, cu_seqlens array<int>, "
@@ -98,12 +98,7 @@ def best_fit(lengths: list[int], row_length: int) -> list[list[int]]:
 
 
 class LibraryEncoder:
-    """Ids of whole texts by the library, which sees a word once while it is remembered.
-
-    ``Memo`` knows runs between blanks; a new run is put together from its words, so the
-    same word with other punctuation or case is no new one. A file with other rules for
-    splitting would need ``words`` of its own.
-    """
+    """Ids of whole texts by the library, which sees each run between blanks once while remembered."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -114,8 +109,7 @@ class LibraryEncoder:
         self.library.no_padding()
         self.id_bytes = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.id_bytes}")
-        self.words = Memo(self._one, REMEMBERED)
-        self.known = Memo(self._run, REMEMBERED)
+        self.known = Memo(self._one, REMEMBERED)
 
     def _pack(self, ids: list[int]) -> bytes:
         return np.array(ids, self.dtype).tobytes()
@@ -123,12 +117,6 @@ class LibraryEncoder:
     def _one(self, run: str) -> bytes:
         return self._pack(self.library.encode(run, add_special_tokens=False).ids)
 
-    def _run(self, run: str) -> bytes:
-        if "<|" in run:  # may be a special token
-            return self._one(run)
-        word = self.words.__getitem__
-        return b"".join(by_run(run, word, lambda r: b"".join(map(word, run_words(r)))))
-
     def encode(self, text: str) -> bytes:
         # split() takes these for blanks, the library does not
         if any(c in text for c in _ODD):
