@@ -24,6 +24,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -98,7 +99,11 @@ def best_fit(lengths: list[int], row_length: int) -> list[list[int]]:
 
 
 class LibraryEncoder:
-    """Ids of whole texts by the library, which sees each run between blanks once while remembered."""
+    """Ids of whole texts by the library, which sees each run between blanks once while remembered.
+
+    The new runs of a text go to it in one call, with a blank between each two. Nothing in
+    the vocabulary reaches over a blank, so the place of a token tells the run it belongs to.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -117,11 +122,26 @@ class LibraryEncoder:
     def _one(self, run: str) -> bytes:
         return self._pack(self.library.encode(run, add_special_tokens=False).ids)
 
+    def _learn(self, runs: list[str]) -> None:
+        found = self.library.encode(" ".join(runs), add_special_tokens=False)
+        ids = np.array(found.ids, self.dtype)
+        places = np.fromiter((a for a, _ in found.offsets), np.int64, len(ids))
+        starts = np.cumsum([0] + [len(run) + 1 for run in runs])
+        cuts = np.searchsorted(places, starts) * self.id_bytes
+        packed = ids.tobytes()
+        for run, a, b in zip(runs, cuts.tolist(), cuts[1:].tolist()):
+            self.known.learn(run, packed[a:b])
+
     def encode(self, text: str) -> bytes:
         # split() takes these for blanks, the library does not
         if any(c in text for c in _ODD):
             return self._one(text)
-        return b"".join(map(self.known.__getitem__, text.split()))
+        runs = text.split()
+        unseen = dict.fromkeys(filterfalse(self.known.__contains__, runs))
+        new = [run for run in unseen if not self.known.recall(run)]
+        if new:
+            self._learn(new)
+        return b"".join(map(self.known.__getitem__, runs))
 
 
 @lru_cache(2)

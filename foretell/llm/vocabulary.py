@@ -169,8 +169,18 @@ class Memo(dict):
         result = self.before.get(word)
         if result is None:
             result = self.work(word)
+        self.learn(word, result)
+        return result
+
+    def recall(self, word) -> bool:
+        """Whether an older result was found, which then counts as seen lately."""
+        result = self.before.get(word)
+        if result is not None:
+            self.learn(word, result)
+        return result is not None
+
+    def learn(self, word, result) -> None:
         if len(self) >= self.bound:
             self.before = dict(self)
             self.clear()
         self[word] = result
-        return result
