@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from foretell.checks import check
-from foretell.checks.sql import NOW, base_rate, fix, pct, q, rnd, sfix
+from foretell.checks.sql import NOW, base_rate, fix, judged, pct, q, rnd, sfix, units
 from foretell.functions.text import base_rate as base_rate_of
 from foretell.operators import alerts as L
 from foretell.operators import summaries as M
@@ -13,6 +13,7 @@ from foretell.operators.baseline import baselines
 from foretell.operators.scoring import with_outcome
 from foretell.operators.lookup import attach_weather, weather_snapshot
 from foretell.plans.fixtures import AS_OF, POLL_ORDER
+from foretell.plans.jobs import anomaly_job
 from foretell.plans.views import query_view
 
 _SUBJECT = "location_name || ' ' || market_type"
@@ -206,18 +207,50 @@ _COLUMNS = (
 )
 
 
-@check(
-    "union_alerts",
-    q(f"""SELECT {_COLUMNS} FROM (
+# two places fall silent: nothing of theirs lies in the seven days before as_of
+_SILENT_PLACES = "location_name IN ('London', 'Tokyo') AND window_start >= TIMESTAMP '2024-01-20'"
+_NEWEST_JUDGED = ", newest AS (" + judged(f"""
+    SELECT n.*, coalesce(r.n_rows, 0) AS n_rows, r.s_acc, r.q_acc, r.s_bias, r.q_bias, 0 AS au, 0 AS bu
+    FROM (SELECT * FROM aggregates WHERE NOT ({_SILENT_PLACES}) QUALIFY row_number() OVER
+            (PARTITION BY location_name, market_type ORDER BY window_start DESC) = 1) n
+    LEFT JOIN (SELECT location_name, market_type, count(*) AS n_rows, CAST(sum(au) AS BIGINT) AS s_acc, CAST(sum(au * au) AS BIGINT) AS q_acc,
+        CAST(sum(bu) AS BIGINT) AS s_bias, CAST(sum(bu * bu) AS BIGINT) AS q_bias
+      FROM (SELECT *, {units('accuracy_rate', 4)} AS au, {units('abs(bias_score)', 4)} AS bu FROM aggregates
+            WHERE NOT ({_SILENT_PLACES}) AND window_end >= {NOW} - INTERVAL 7 DAY) GROUP BY 1, 2) r
+    ON r.location_name = n.location_name AND r.market_type = n.market_type""") + ")"
+_RUN = f"""SELECT {_COLUMNS}@ FROM (
           SELECT * FROM ({_accuracy_sql('newest', '0.6')}) UNION ALL BY NAME SELECT * FROM ({_bias_sql('newest')})
           UNION ALL BY NAME SELECT * FROM ({_FLAGGED}) UNION ALL BY NAME SELECT * FROM ({_TIMEOUT})
-          UNION ALL BY NAME SELECT * FROM ({_LOW}))""", "judged", "polls", "latest_health", "expected", "outcomes").replace(
-        "\nSELECT alert_type", ", newest AS (SELECT * FROM judged QUALIFY row_number() OVER "
-        "(PARTITION BY location_name, market_type ORDER BY window_start DESC) = 1)\nSELECT alert_type", 1),
-)
-def _union(f):
+          UNION ALL BY NAME SELECT * FROM ({_LOW}))"""
+
+
+def _run_sql(final: str, *more: str) -> str:
+    text = q("-- run\n" + final, "aggregates", "polls", "latest_health", "expected", "outcomes", *more)
+    return text.replace("\n-- run", _NEWEST_JUDGED, 1)
+
+
+def _run_inputs(f):
+    silent = F.col("location_name").isin("London", "Tokyo") & (F.col("window_start") >= F.lit("2024-01-20").cast("timestamp"))
     rows = with_outcome(attach_weather(f.predictions, *weather_snapshot(f.weather)))
-    return L.detect_all(f.aggregates, f.polls, f.health, f.expected, rows, AS_OF, POLL_ORDER)
+    return f.aggregates.where(~silent), f.polls, f.health, f.expected, rows
+
+
+@check("union_alerts", _run_sql(_RUN.replace("@", "")))
+def _union(f):
+    return L.detect_all(*_run_inputs(f), AS_OF, POLL_ORDER)
+
+
+@check(
+    "anomaly_job",
+    _run_sql(f"""SELECT alert_id, alert_type, severity, location_name, market_type, message, metric_value, threshold_value, deviation,
+          price_sum, arbitrage_margin, detected_at, is_resolved, resolved_at FROM (
+          SELECT * EXCLUDE (is_resolved, resolved_at, hit), is_resolved OR hit AS is_resolved, CASE WHEN hit THEN {NOW} ELSE resolved_at END AS resolved_at
+          FROM (SELECT *, alert_type = 'producer_timeout' AND NOT is_resolved AND EXISTS (SELECT 1 FROM latest_health l
+             WHERE l.component = a.location_name AND l.recorded_at > {NOW} - INTERVAL 10 MINUTE) AS hit FROM stored_alerts a)
+          UNION ALL BY NAME {_RUN.replace("@", ", false AS is_resolved")})""", "stored_alerts"),
+)
+def _anomaly_job(f):
+    return anomaly_job(f.stored_alerts, *_run_inputs(f), AS_OF, POLL_ORDER)
 
 
 @check(
@@ -292,7 +325,7 @@ def _top(f):
     q("SELECT condition_id, location_name, correlation_method, prediction_error FROM correlations ORDER BY arrival LIMIT 5", "correlations"),
 )
 def _sample(f):
-    return f.correlations.orderBy("arrival").limit(5).select(
+    return M.sample_rows(f.correlations, ["arrival"]).select(
         "condition_id", "location_name", "correlation_method", "prediction_error"
     )
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from foretell import constants as C
 from foretell.checks import check
 from foretell.checks.sql import NOW, base_rate, q, rnd
 from foretell.checks.texts import CITY_SQL, _TYPE
@@ -133,11 +134,8 @@ def _scan(f):
            messages_processed AS sent FROM health""", "health"),
 )
 def _details(f):
-    details = F.to_json(
-        F.struct("status", F.col("messages_processed").alias("sent"), F.col("error_count").alias("errors"))
-    )
-    rows = f.health.withColumn("details", details)
-    return rows.select("health_id", "details", F.get_json_object("details", "$.sent").cast("bigint").alias("sent"))
+    rows = Q.with_details(f.health, status="status", sent="messages_processed", errors="error_count")
+    return rows.select("health_id", "details", Q.detail("sent", "bigint").alias("sent"))
 
 
 # -- times ---------------------------------------------------------------------------
@@ -349,8 +347,11 @@ def _city_dates(f):
     "weather_requests",
     q(f"""SELECT DISTINCT location_name AS city, CAST(end_date AS VARCHAR) AS date,
           CASE WHEN end_date < CAST({NOW} AS DATE) THEN 'historical' ELSE 'current' END AS feed
-          FROM predictions WHERE location_name IN (SELECT city_name FROM gazetteer WHERE verified)""", "predictions", "gazetteer"),
+          FROM predictions WHERE location_name IN (SELECT city_name FROM gazetteer WHERE verified
+            AND (city_name IN {tuple(c[0] for c in C.CITY_COORDINATES)} OR city_name NOT IN ('Manchester', 'Istanbul')))""", "predictions", "gazetteer"),
 )
 def _requests(f):
     rows = f.predictions.withColumn("needs_weather_check", ~F.col("closed"))
-    return I.weather_requests(I.distinct_city_dates(rows, f.gazetteer), AS_OF).select("city", "date", "feed")
+    lost = F.col("city_name").isin("London", "Manchester", "Istanbul")
+    places = f.gazetteer.withColumn("lat", F.when(~lost, F.col("lat")))
+    return I.weather_requests(I.distinct_city_dates(rows, f.gazetteer), AS_OF, places).select("city", "date", "feed")

@@ -15,7 +15,9 @@ from foretell.operators import baseline as B
 from foretell.operators import scoring as S
 from foretell.operators import summaries as M
 from foretell.operators.lookup import attach_weather, weather_snapshot
+from foretell.plans import jobs as J
 from foretell.plans.fixtures import AS_OF, Fixtures
+from foretell.sources.session import scratch
 
 
 def attached(f: Fixtures):
@@ -296,3 +298,65 @@ def _coverage(f):
 )
 def _run_coverage(f):
     return M.run_report(f.correlations, f.predictions)
+
+
+# -- jobs ---------------------------------------------------------------------------------------
+
+# every market is polled twice: open at another price first, then as it is
+@check(
+    "correlation_job",
+    q(f"SELECT {_CORR} FROM correlations", "correlations").replace(
+        "FROM predictions p LEFT JOIN exact",
+        "FROM (SELECT * REPLACE (CASE WHEN closed THEN price ELSE 1 - price END AS price) FROM predictions) p LEFT JOIN exact", 1),
+)
+def _correlation_job(f):
+    open_first = f.predictions.withColumns(
+        {
+            "price": 1 - F.col("price"),
+            "winner": F.lit(None).cast("boolean"),
+            "closed": F.lit(False),
+            "market_status": F.lit("open"),
+            "arrival": F.col("arrival") * 2,
+        }
+    )
+    polls = open_first.unionByName(f.predictions.withColumn("arrival", F.col("arrival") * 2 + 1))
+    rows = J.correlation_job(polls, f.weather, AS_OF, store=scratch(f.spark, "resolved"))
+    return rows.select(*[c.strip() for c in _CORR.split(",")])
+
+
+# every third market has an earlier record, which only a decided one replaces
+_FIRST = "(arrival % 3 = 0 AND correlation_method IS DISTINCT FROM 'winner_known')"
+_RECORDS = f"""(SELECT * REPLACE (CASE WHEN {_FIRST} THEN 'historical_weather' ELSE correlation_method END AS correlation_method,
+    CASE WHEN {_FIRST} THEN 1 - price ELSE price END AS price) FROM correlations)"""
+_SETTLED = f"(SELECT * FROM {_RECORDS} WHERE correlation_method IS DISTINCT FROM 'current_snapshot')"
+
+
+def _job_records(f):
+    early = f.correlations.where("arrival % 3 = 0").withColumns(
+        {"correlation_method": F.lit("historical_weather"), "price": 1 - F.col("price"), "arrival": F.col("arrival") * 2}
+    )
+    return early.unionByName(f.correlations.withColumn("arrival", F.col("arrival") * 2 + 1))
+
+
+def _aggregation_job(f):
+    stored = f.correlations.where("arrival % 2 = 0")
+    return J.aggregation_job(_job_records(f), stored, f.aggregates, AS_OF)
+
+
+@check(
+    "aggregation_job",
+    q(f"""SELECT * FROM aggregates UNION ALL BY NAME
+          SELECT *, {NOW} - INTERVAL 1 HOUR AS window_start, {NOW} AS window_end, {NOW} AS updated_at
+          FROM ({batch_metrics(_SETTLED, 'location_name, market_type')})""", "aggregates"),
+)
+def _job_aggregates(f):
+    return _aggregation_job(f)[1]
+
+
+@check(
+    "aggregation_job_correlations",
+    q(f"""SELECT condition_id, price, correlation_method FROM correlations WHERE arrival % 2 = 0
+          UNION ALL SELECT condition_id, price, correlation_method FROM {_SETTLED} WHERE arrival % 2 <> 0""", "correlations"),
+)
+def _job_correlations(f):
+    return _aggregation_job(f)[0].select("condition_id", "price", "correlation_method")

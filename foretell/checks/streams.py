@@ -18,6 +18,7 @@ from foretell.plans.fixtures import Fixtures
 from foretell.sources import tables, topics
 from foretell.sources.session import scratch
 from foretell.streaming.hopping import stream_hopping
+from foretell.streaming.keyed import key_by, windowed_counts
 from foretell.streaming.pending_join import stream_pending_join
 from foretell.streaming.rolling_alerts import stream_baselines, stream_rolling_alerts
 from foretell.streaming.run import drain, drain_complete, drain_each, drain_into
@@ -55,8 +56,7 @@ def _source(f):
     q("SELECT coalesce(location_name, 'unknown') AS location_name, count(*) AS n FROM weather GROUP BY 1", "weather"),
 )
 def _key_by(f):
-    keyed = Fixtures.weather_from(_events(f)).groupBy(F.coalesce("location_name", F.lit("unknown")).alias("location_name"))
-    return drain_complete(keyed.agg(F.count(F.lit(1)).alias("n")), "keyed")
+    return drain_complete(key_by(Fixtures.weather_from(_events(f)), "location_name"), "keyed")
 
 
 _HOP_KEYS = "location_name, market_type, window_start, window_end"
@@ -76,9 +76,8 @@ def _hopping(f):
          WHERE w + INTERVAL 1 HOUR <= (SELECT date_trunc('milliseconds', max(poll_ts)) FROM weather) - INTERVAL 15 MINUTE GROUP BY 1, 2""", "weather"),
 )
 def _watermark(f):
-    rows = Fixtures.weather_from(_events(f)).withWatermark("poll_ts", "15 minutes")
-    counted = rows.groupBy("location_name", F.window("poll_ts", "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("n"))
-    return drain(counted.select("location_name", F.col("w.start").alias("window_start"), "n"), "watermark")
+    counted = windowed_counts(Fixtures.weather_from(_events(f)), "poll_ts", ["location_name"])
+    return drain(counted.select("location_name", "window_start", "n"), "watermark")
 
 
 # for every prediction: the place's newest weather at that moment if it settles the
@@ -186,12 +185,8 @@ def _late(f):
     second = (F.col("poll_ts") >= F.lit("2024-01-20").cast("timestamp")) | (F.col("obs_id") % 10 == 0)
     for part in (~second, second):
         rows.where(part).write.mode("append").parquet(topic)
-        stream = topics.read_stream(f.spark, topic, rows.schema).withWatermark("poll_ts", "15 minutes")
-        counted = stream.groupBy("location_name", F.window("poll_ts", "1 hour").alias("w")).agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        shown = counted.select("location_name", F.col("w.start").alias("window_start"), "n")
-        result = drain_into(shown, out, checkpoint)
+        counted = windowed_counts(topics.read_stream(f.spark, topic, rows.schema), "poll_ts", ["location_name"])
+        result = drain_into(counted.select("location_name", "window_start", "n"), out, checkpoint)
     return result
 
 

@@ -12,7 +12,7 @@ from foretell import constants as C
 from foretell.functions.numeric import FINE, fixed, from_units, percent, round_to, signed_fixed, to_units
 from foretell.functions.text import base_rate
 from foretell.functions.times import instant
-from foretell.operators.baseline import baselines
+from foretell.operators.baseline import recent_baselines
 from foretell.operators.toprow import first_per_key, first_seen, latest_per_key
 from foretell.schemas import ALERT
 
@@ -378,10 +378,11 @@ def detect_all(
     as_of,
     arrival="arrival",
 ) -> DataFrame:
-    """The anomaly job: newest aggregate per key against its baseline, then all rules."""
-    newest = latest_aggregate(baselines(aggregates))
+    """All rules: the newest aggregate per key against the seven days before ``as_of``,
+    flagged mispricings, silent feeds and the coverage of the join."""
+    judged = recent_baselines(latest_aggregate(aggregates), aggregates, as_of)
     return union_alerts(
-        aggregate_alerts(newest, as_of),
+        aggregate_alerts(judged, as_of),
         mispricing_flagged(predictions, as_of, arrival),
         producer_timeout(health, expected, as_of),
         low_coverage(correlations, as_of),

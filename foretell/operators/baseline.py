@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from foretell import constants as C
 from foretell.functions.numeric import FINE, round_to, to_units
+from foretell.functions.times import instant
 
 DAY_MICROS = 86_400_000_000
 
@@ -138,6 +139,30 @@ def thresholds(with_sums: DataFrame, sigmas: float = C.SIGMAS, min_points: int =
     ).drop("n_rows", *SUM_COLUMNS)
 
 
+def recent_baselines(
+    newest: DataFrame, aggregates: DataFrame, as_of, ts: str = "window_end", days: int = C.BASELINE_DAYS
+) -> DataFrame:
+    """``newest``, one aggregate per place and type, against the ``days`` before ``as_of``.
+
+    A key silent for longer has no points and gets the static thresholds. Only the last
+    days are read, and they combine map-side: no window over the whole history.
+    """
+    keys = ["location_name", "market_type"]
+    acc, dev = to_units(F.col("accuracy_rate"), 4), to_units(F.abs(F.col("bias_score")), 4)
+    recent = aggregates.where(F.col(ts) >= instant(as_of) - F.expr(f"interval {days} days"))
+    sums = recent.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count(acc).alias("n_acc"),
+        F.sum(acc).alias("s_acc"),
+        F.sum(acc * acc).alias("q_acc"),
+        F.count(dev).alias("n_bias"),
+        F.sum(dev).alias("s_bias"),
+        F.sum(dev * dev).alias("q_bias"),
+    )
+    zero = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("n_rows", *SUM_COLUMNS)}
+    return thresholds(newest.join(sums, keys, "left").withColumns(zero))
+
+
 def baselines(
     aggregates: DataFrame,
     ts: str = "window_end",

@@ -12,7 +12,7 @@ from foretell.functions.numeric import round_to
 from foretell.functions.outcomes import c_to_f, prediction_error
 from foretell.functions.times import historical_eligible, instant, ms_to_iso
 from foretell.operators.alerts import mispricing
-from foretell.operators.gazetteer import extract_city, verified_names
+from foretell.operators.gazetteer import coords_lookup, extract_city, verified_names
 from foretell.operators.toprow import first_per_key
 
 
@@ -186,7 +186,13 @@ def distinct_city_dates(predictions: DataFrame, gazetteer: DataFrame, arrival: s
     return grouped.join(names, grouped["city"] == names["city_name"], "left_semi")
 
 
-def weather_requests(city_dates: DataFrame, as_of) -> DataFrame:
-    """Which feed answers a (city, date): the archive for past days, else current."""
+def weather_requests(city_dates: DataFrame, as_of, places: DataFrame | None = None) -> DataFrame:
+    """Which feed answers a (city, date): the archive for past days, else current.
+
+    With ``places`` (city_name, lat, lon, timezone) requests carry coordinates, and cities
+    that have none there or in the fixed table are skipped.
+    """
+    if places is not None:
+        city_dates = coords_lookup(city_dates, places)
     past = historical_eligible(F.col("date"), as_of)
     return city_dates.withColumn("feed", F.when(past, "historical").otherwise("current"))

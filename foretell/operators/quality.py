@@ -66,3 +66,13 @@ def check_constraints(df: DataFrame) -> DataFrame:
         if column in df.columns
     ]
     return df.withColumn("violations", F.filter(F.array(*broken), lambda v: v.isNotNull()))
+
+
+def with_details(health: DataFrame, **fields: str) -> DataFrame:
+    """Adds ``details``: the named columns as one JSON object."""
+    return health.withColumn("details", F.to_json(F.struct(*[F.col(c).alias(name) for name, c in fields.items()])))
+
+
+def detail(name: str, kind: str = "string", column: str = "details") -> Column:
+    """A field of the JSON object, null where it is missing or not of that kind."""
+    return F.get_json_object(F.col(column), f"$.{name}").try_cast(kind)

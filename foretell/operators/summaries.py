@@ -28,24 +28,26 @@ def method_breakdown(correlations: DataFrame) -> DataFrame:
 
 def poll_summary(records: DataFrame, n_fetched: DataFrame, n_cross: DataFrame) -> DataFrame:
     """One row per poll. ``n_fetched``/``n_cross`` are one-row frames (``fetched``,
-    ``cross_arbitrage``); the per-type counts nest into one sorted list."""
-    by_type = records.groupBy("market_type").agg(
+    ``cross_arbitrage``); the per-type counts nest into one sorted list. Records shrink to
+    one row per type and city before anything is listed."""
+    by_pair = records.groupBy("market_type", "location_name").agg(
         F.count(F.lit(1)).alias("sent"),
         F.count_if(F.col("market_status") == "closed").alias("closed"),
         F.count_if(F.col("is_arbitrage")).alias("arbitrage"),
-        F.collect_set("location_name").alias("cities"),
     )
+    by_type = by_pair.groupBy("market_type").agg(*[F.sum(c).alias(c) for c in ("sent", "closed", "arbitrage")])
+    named = by_pair.where(F.col("location_name").isNotNull()).select("location_name").distinct()
+    listed = named.agg(F.array_sort(F.collect_list("location_name")).alias("cities"))
     one = by_type.agg(
         F.coalesce(F.sum("sent"), F.lit(0)).alias("sent"),
         F.coalesce(F.sum("closed"), F.lit(0)).alias("closed_markets"),
         F.coalesce(F.sum("arbitrage"), F.lit(0)).alias("arbitrage"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("cities")))).alias("cities"),
         F.array_sort(
             F.collect_list(F.concat_ws("=", "market_type", F.col("sent").cast("string")))
         ).alias("by_type"),
     )
     return (
-        beside(one, n_fetched, n_cross)
+        beside(one, listed, n_fetched, n_cross)
         .select(
             "sent",
             (F.col("fetched") - F.col("sent")).alias("skipped"),
@@ -132,6 +134,11 @@ def top_recent_aggregates(aggregates: DataFrame, limit: int = 10) -> DataFrame:
     )
 
 
+def sample_rows(rows: DataFrame, order: Sequence[str], limit: int = 5) -> DataFrame:
+    """The first few rows, for a look at them."""
+    return rows.orderBy(*order).limit(limit)
+
+
 def run_report(correlations: DataFrame, predictions: DataFrame) -> DataFrame:
     """Coverage of one run: correlated out of all deduplicated predictions."""
     total = predictions.agg(F.count(F.lit(1)).alias("total"))

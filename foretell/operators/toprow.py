@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_RANK = "__rank"
+_RANK, _ALONE = "__rank", "__alone"
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -42,12 +42,15 @@ def prefer_closed(polls: DataFrame, arrival: str | Sequence[str]) -> DataFrame:
 
 
 def prefer_winner(correlations: DataFrame, arrival: str | Sequence[str]) -> DataFrame:
-    """First record, replaced by the first decided one; rows without id all stay."""
+    """First record, replaced by the first decided one; rows without id all stay.
+
+    A row without id gets a number of its own as key, so one pass ranks all rows.
+    """
     has_id = F.coalesce(F.col("condition_id") != "", F.lit(False))
     decided_first = F.col("correlation_method").eqNullSafe(F.lit("winner_known")).desc()
     order = [decided_first, *_in_order(arrival)]
-    unique = first_per_key(correlations.where(has_id), ["condition_id"], order)
-    return unique.unionByName(correlations.where(~has_id))
+    numbered = correlations.withColumn(_ALONE, F.when(~has_id, F.monotonically_increasing_id()))
+    return first_per_key(numbered, ["condition_id", _ALONE], order).drop(_ALONE)
 
 
 def first_seen(records: DataFrame, arrival: str | Sequence[str]) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("market_accuracy_aggregates", "market_correlations", "anomaly_alerts", "pipeline_health")
@@ -58,10 +61,13 @@ def view_sql(name: str, as_of: str) -> str:
 
 
 def query_view(spark: SparkSession, name: str, as_of: str, **tables: DataFrame) -> DataFrame:
-    """Run one view over the given frames."""
+    """Run one view over the given frames, under names that no other view bears."""
+    sql = view_sql(name, as_of)
     for table, frame in tables.items():
-        frame.createOrReplaceTempView(table)
-    return spark.sql(view_sql(name, as_of))
+        own = f"{table}_{uuid4().hex}"
+        frame.createOrReplaceTempView(own)
+        sql = re.sub(rf"\b{table}\b", own, sql)
+    return spark.sql(sql)
 
 
 def create_views(spark: SparkSession, as_of: str, **tables: DataFrame) -> None:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as registered
+from foretell import checks
 from tests.compare import DATA, compare, database
 
 FOLDER = DATA / "sf0.001"
@@ -24,10 +25,11 @@ MAY_BE_EMPTY = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+# queries of the training-data operators have tests of their own
+@pytest.mark.parametrize("name", sorted(checks.QUERIES))
 def test_matches_sql(spark, con, name):
-    df = registered.queries()[name](spark, str(FOLDER))
-    problem = compare(df, con, registered.oracle_sql()[name])
+    df = checks.QUERIES[name](spark, str(FOLDER))
+    problem = compare(df, con, checks.ORACLES[name])
     assert problem == "" or (problem == "EMPTY" and name in MAY_BE_EMPTY)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):

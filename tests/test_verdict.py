@@ -136,3 +136,31 @@ def test_malformed_json_is_null(spark):
     df = spark.createDataFrame([(s,) for s in ('{"k": 1}', '{"k": 1,,}', "{bad}", "{k: }", "[1]", "", None)], "value string")
     got = [r.record for r in topics.decode(spark, df, "k int").collect()]
     assert [g and g.k for g in got] == [1] + [None] * 6 and got[1:] == [None] * 6
+
+
+def test_a_view_leaves_other_views_alone(spark):
+    from foretell.plans.views import query_view
+
+    spark.range(3).createOrReplaceTempView("pipeline_health")
+    schema = "component string, status string, messages_processed bigint, error_count bigint, last_message_at timestamp, latency_ms bigint, recorded_at timestamp"
+    one, two = (spark.sql("SELECT 1").select(F.lit(n).alias("component"), *[F.lit(None).cast(c.split()[1]).alias(c.split()[0])
+                for c in schema.split(", ")[1:-1]], F.current_timestamp().alias("recorded_at")) for n in ("a", "b"))
+    first = query_view(spark, "v_pipeline_health", "2024-01-31 00:00:00", pipeline_health=one)
+    second = query_view(spark, "v_pipeline_health", "2024-01-31 00:00:00", pipeline_health=two)
+    assert [r.component for r in first.collect()] == ["a"] and [r.component for r in second.collect()] == ["b"]
+    assert spark.table("pipeline_health").count() == 3
+    spark.catalog.dropTempView("pipeline_health")
+
+
+def test_a_silent_key_has_no_baseline(spark):
+    from foretell.operators.alerts import latest_aggregate
+    from foretell.operators.baseline import recent_baselines
+
+    rows = [("old", "RAIN", f"2024-01-0{d} 00:00:00", 0.9) for d in range(1, 6)]
+    rows += [("new", "RAIN", f"2024-01-2{d} 00:00:00", 0.9) for d in range(5, 9)] + [("new", "RAIN", "2024-01-01 00:00:00", 0.1)]
+    frame = spark.createDataFrame(rows, "location_name string, market_type string, at string, accuracy_rate double").select(
+        "location_name", "market_type", "accuracy_rate", F.lit(0.0).alias("bias_score"), F.lit(20).cast("bigint").alias("total_predictions"),
+        F.col("at").cast("timestamp").alias("window_start"), F.col("at").cast("timestamp").alias("window_end"))
+    got = {r.location_name: r for r in recent_baselines(latest_aggregate(frame), frame, "2024-01-31 00:00:00").collect()}
+    assert (got["old"].baseline_source, got["old"].baseline_n, got["old"].accuracy_threshold) == ("static_fallback", 0, 0.8)
+    assert (got["new"].baseline_source, got["new"].baseline_n, got["new"].acc_mean) == ("7day_statistical", 4, 0.9)
