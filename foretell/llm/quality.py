@@ -59,9 +59,9 @@ def statistics(text: str) -> list[float]:
     times = Counter(words)
     lines = [line for line in raw.split(b"\n") if line.strip()]
     sizes = np.fromiter(map(len, words), np.int64, len(words))
-    firsts = words[::7]  # of every seventh word; a share
-    upper = sum(w[:1].isupper() for w in firsts) / max(len(firsts), 1)
-    marked = sum(not w[-1:].isalnum() and w[-1] < 128 for w in firsts) / max(len(firsts), 1)
+    # every word counts; each distinct one is looked at once
+    upper = sum(c for w, c in times.items() if w[:1].isupper()) / n
+    marked = sum(c for w, c in times.items() if not w[-1:].isalnum() and w[-1] < 128) / n
     return [
         np.log1p(size),
         np.log1p(len(words)),

@@ -219,6 +219,15 @@ def test_quality_on_held_out_rows(spark):
     assert np.mean([got[d].predicted == labels[d] for d in held]) > 0.9
 
 
+def test_quality_reads_every_word():
+    at = {name: i for i, name in enumerate(quality.FEATURES)}
+    for text, capital, marked in (
+        ("a B c, d E f. g", 2 / 7, 2 / 7), ("a Bb", 1 / 2, 0), ("A" + " b" * 6, 1 / 7, 0), ("Go, go! Go, é", 2 / 4, 3 / 4), ("", 0, 0), (" ", 0, 0)
+    ):
+        found = quality.statistics(text)
+        assert (found[at["capital_words"]], found[at["marked_words"]]) == pytest.approx((capital, marked))
+
+
 def test_toxicity_on_held_out_rows(spark):
     folder = "/root/testdata/sf0.1"
     got = {r.doc_id: r for r in queries.op10_toxicity(spark, folder).collect()}
