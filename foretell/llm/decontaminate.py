@@ -9,14 +9,19 @@ window of its own length. A document's windows first pass a bitmap of the benchm
 hashes, which has a fixed size and lets every match through, so only likely matches leave
 the scan.
 
-**Slots.** Over all matched windows of a document and an item (in one reading), each value
-in the item must stand for one value in the document; windows that contradict the most
-frequent reading of a slot do not count. A re-parameterised question keeps its repeated
-values equal, a chance match does not. A pair counts as found with ``least`` different
-consistent windows of the item, or all of them if it has fewer.
+**Slots.** Within an occurrence of an item in a document, each value in the item must stand
+for one value in the document; windows that contradict the most frequent reading of a slot
+do not count. A re-parameterised question keeps its repeated values equal, a chance match
+does not. As a document may hold several variants of an item, the matched windows are read
+as occurrences in three ways, each judged for itself: those of one offset between document
+and item, runs in which both places go up (a copy with words put in or left out, up to
+``2 * WINDOW`` at a time), and all of the document. A pair counts as found if an occurrence
+has ``least`` different consistent windows of the item, or all of them if the item has
+fewer; templates alone suffice if they are ``least`` or all of the item's templates.
 
 Result: one row for each found pair of document and item: doc_id, item_id, n_windows (the
-item's matched windows), n_item_windows, exact (all slots have the item's values).
+item's matched windows in the best occurrence), n_item_windows, exact (all slots of an
+occurrence have the item's values).
 
 Cases: null and empty texts match nothing, nor do items without words; of repeated items
 each is reported; repeated rows of a document give one pair; rows with a null id cannot be
@@ -37,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from foretell.llm.common import stored, texts_of
-from foretell.llm.minhash import _rows_hash
+from foretell.llm.minhash import _M1, _mix, _rows_hash
 from foretell.llm.vocabulary import Memo
 
 WINDOW, LITERALS, BITS = 8, 5, 1 << 24
@@ -51,6 +56,8 @@ _BARE = re.compile(r"[\W_]+")
 _CAPITAL, _NUMBER, _UNIT, _ENDS = 1, 2, 4, 8
 _FLAGS = np.uint64(15)
 _NUMBER_SLOT, _NAME_SLOT, _UNIT_SLOT = (np.uint64(xxhash.xxh64_intdigest(x) & ~15) for x in ("<number>", "<name>", "<unit>"))
+#: Number of the literal reading.
+LITERAL = 2
 HITS = "doc_id bigint, reading int, place int, hash bigint, slots array<bigint>"
 
 
@@ -65,8 +72,9 @@ def _code(run: str) -> int:
     return xxhash.xxh64_intdigest(word) & ~15 | flags
 
 
-def template(text: str, codes) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-    """The words' own hashes, and for each reading the template and which words are slots."""
+def template(text: str, codes) -> tuple[np.ndarray, list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]]:
+    """The words' own hashes, and for each reading its number, the template, which words are
+    slots, and which words a window must have one of to say more than the first reading."""
     parts = []
     for line in text.split("\n"):
         runs = line.split()
@@ -87,26 +95,40 @@ def template(text: str, codes) -> tuple[np.ndarray, list[tuple[np.ndarray, np.nd
     plain = own
     if number.any():
         plain = np.where(number, _NUMBER_SLOT, np.where(unit, _UNIT_SLOT, own))
-    readings = [(plain, number | unit)]
+    slot = number | unit
+    readings = [(0, plain, slot, np.ones(len(own), bool))]
     if name.any():
-        readings.append((np.where(name, _NAME_SLOT, plain), number | unit | name))
+        readings.append((1, np.where(name, _NAME_SLOT, plain), slot | name, name))
     return own, readings
 
 
 def windows(text: str, codes, width: int = WINDOW, least: int = LITERALS) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(reading, places, hashes, slot values by place) of the windows with enough bare words."""
+    """(reading, places, hashes, slot values by place) of the windows: templates with enough bare words, and literal ones."""
     own, readings = template(text, codes)
     out = []
-    for reading, (words, slots) in enumerate(readings):
+    for reading, words, slots, telling in readings:
         size = min(width, len(words))
-        hashes = _rows_hash(words, size)
-        bare = np.concatenate(([0], np.cumsum(~slots)))
-        wanted = (bare[size:] - bare[:-size]) >= min(least, size)
-        if reading:  # without a name inside it says what the first reading says
-            inside = np.concatenate(([0], np.cumsum(slots)))
-            wanted &= (inside[size:] - inside[:-size]) > 0
+        if reading:
+            inside = np.concatenate(([0], np.cumsum(telling)))
+            wanted = (inside[size:] - inside[:-size]) > 0
+        else:
+            wanted = np.ones(len(words) - size + 1, bool)
+        if reading != LITERAL:
+            bare = np.concatenate(([0], np.cumsum(~slots)))
+            wanted &= (bare[size:] - bare[:-size]) >= min(least, size)
         places = np.flatnonzero(wanted)
-        out.append((reading, places, hashes[places], np.where(slots, own, np.uint64(0))))
+        hashes = _rows_hash(words, size)[places] if not reading else _hashes_at(words, places, size)
+        out.append((reading, places, hashes, np.where(slots, own, np.uint64(0))))
+    return out
+
+
+def _hashes_at(words: np.ndarray, places: np.ndarray, width: int) -> np.ndarray:
+    """``_rows_hash`` of the windows that begin at some places."""
+    if 2 * len(places) > len(words):
+        return _rows_hash(words, width)[places]
+    out = np.full(len(places), width, np.uint64)
+    for i in range(width):
+        out = _mix(out * _M1 + words[places + i])
     return out
 
 
@@ -180,48 +202,73 @@ def leaks(
     ).first()[0]
     texts = texts_of(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("bigint")).where("doc_id is not null")
     hits = texts.mapInArrow(_mapper(bitmap, narrow), HITS)
-    # each reading of a document meets both readings of an item: a placeholder may stand for a plain word's window only
+    # each reading of a document meets all readings of an item: a placeholder may stand for a plain word's window only
     # by hash, so equal hashes are all that is asked
     met = hits.withColumnRenamed("reading", "doc_reading").join(known, "hash").select(
-        "doc_id", "item_id", "doc_reading", "reading", "item_place", "slots", "item_slots"
+        "doc_id", "item_id", "doc_reading", "reading", "place", "item_place", "slots", "item_slots"
     ).where(F.size("slots") == F.size("item_slots"))
-    met = stored(met.distinct(), "met")
+    met = _occurrences(stored(met.distinct(), "met"))
     pair = ["doc_id", "item_id"]
-    # what each value of the item stands for in the document, in most of the windows
+    here = [*pair, "kind", "occurrence"]
+    # what each value of the item stands for in the occurrence, in most of the windows
     pairs = (
-        met.select(*pair, "item_place", F.explode(F.arrays_zip("item_slots", "slots")).alias("z"))
-        .select(*pair, "item_place", F.col("z.item_slots").alias("value"), F.col("z.slots").alias("stands"))
+        met.select(*here, "item_place", "slots", F.explode(F.arrays_zip("item_slots", "slots")).alias("z"))
+        .select(*here, "item_place", "slots", F.col("z.item_slots").alias("value"), F.col("z.slots").alias("stands"))
         .where("value <> 0")
     )
-    votes = pairs.groupBy(*pair, "value", "stands").agg(F.count("*").alias("n"))
+    votes = pairs.groupBy(*here, "value", "stands").agg(F.count("*").alias("n"))
     chosen = (
-        votes.groupBy(*pair, "value")
+        votes.groupBy(*here, "value")
         .agg(F.max_by("stands", F.struct("n", "stands")).alias("chosen"))
     )
     against = (
-        met.withColumn("z", F.explode(F.arrays_zip("item_slots", "slots")))
-        .select(*pair, "item_place", "slots", F.col("z.item_slots").alias("value"), F.col("z.slots").alias("stands"))
-        .where("value <> 0")
-        .join(chosen, [*pair, "value"])
-        .groupBy(*pair, "item_place", "slots")
+        pairs.join(chosen, [*here, "value"])
+        .groupBy(*here, "item_place", "slots")
         .agg(
             F.max((F.col("stands") != F.col("chosen")).cast("int")).alias("bad"),
             F.max((F.col("stands") != F.col("value")).cast("int")).alias("other"),
         )
     )
+    as_template = F.when(F.col("reading") != LITERAL, F.col("item_place"))
     # a window without slots has nothing that could contradict
     good = (
-        met.join(against, [*pair, "item_place", "slots"], "left")
+        met.join(against, [*here, "item_place", "slots"], "left")
         .where("coalesce(bad, 0) = 0")
-        .groupBy(*pair)
+        .groupBy(*here)
         .agg(
             F.count_distinct("item_place").alias("n_windows"),
+            F.count_distinct(as_template).alias("n_templates"),
             (F.max(F.coalesce("other", F.lit(0))) == 0).alias("exact"),
         )
     )
-    wanted = known.groupBy("item_id").agg(F.count_distinct("item_place").alias("n_item_windows"))
+    wanted = known.groupBy("item_id").agg(
+        F.count_distinct("item_place").alias("n_item_windows"), F.count_distinct(as_template).alias("n_item_templates")
+    )
+    enough = (F.col("n_windows") >= F.least(F.lit(least), "n_item_windows")) | (
+        (F.col("n_templates") > 0) & (F.col("n_templates") >= F.least(F.lit(least), "n_item_templates"))
+    )
     return (
         good.join(wanted, "item_id")
-        .where(F.col("n_windows") >= F.least(F.lit(least), "n_item_windows"))
-        .select("doc_id", "item_id", "n_windows", "n_item_windows", "exact")
+        .where(enough)
+        .groupBy(*pair)
+        .agg(F.max("n_windows").alias("n_windows"), F.first("n_item_windows").alias("n_item_windows"), F.bool_or("exact").alias("exact"))
+    )
+
+
+def _occurrences(met: DataFrame) -> DataFrame:
+    """Each matched window with its occurrences (kind, occurrence): of its offset, of its run, and the whole document."""
+    by_place = Window.partitionBy("doc_id", "item_id").orderBy("place", "item_place")
+    ahead, item_ahead = F.col("place") - F.lag("place").over(by_place), F.col("item_place") - F.lag("item_place").over(by_place)
+    breaks = (item_ahead < 0) | ((item_ahead == 0) & (ahead > 0)) | (ahead > item_ahead + 2 * WINDOW)
+    run = F.sum("breaks").over(by_place.rowsBetween(Window.unboundedPreceding, 0))
+    kinds = F.array(
+        F.struct(F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("occurrence")),
+        F.struct(F.lit(1).alias("kind"), F.col("run").alias("occurrence")),
+        F.struct(F.lit(2).alias("kind"), (F.col("place") - F.col("item_place")).cast("bigint").alias("occurrence")),
+    )
+    return (
+        met.withColumn("breaks", F.coalesce(breaks.cast("int"), F.lit(0)))
+        .withColumn("run", run)
+        .withColumn("kinds", F.explode(kinds))
+        .select(*met.columns, "kinds.kind", "kinds.occurrence")
     )

@@ -296,6 +296,18 @@ def test_leaks(spark, cases):
     assert decontaminate.leaks(df.limit(0), bench).count() == decontaminate.leaks(df, bench.limit(0)).count() == 0
 
 
+def test_leaks_beside_other_variants(spark):
+    item = "A farmer sells 12 crates for 30 coins each day at the market"
+    bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    variant = lambda a, b: item.replace("12", str(a)).replace("30", str(b))
+    docs = [(n, f"{item}. {variant(n, 3 * n + 1)}.") for n in range(40, 52)]
+    docs += [(100 + n, f"{variant(n, n + 1)}. some words between. {variant(n + 2, n + 3)}.") for n in range(40, 52)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in decontaminate.leaks(df, bench).collect()}
+    assert set(got) == {d for d, _ in docs}
+    assert all(r.exact == (d < 100) and r.n_windows == r.n_item_windows for d, r in got.items())
+
+
 def test_pipeline_equals_its_stages_one_by_one(spark):
     docs = [r for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
     frame = spark.read.parquet(f"{SMALL}/documents.parquet")
