@@ -5,7 +5,9 @@ sentence give typed placeholders; all else is the bare lower-case word. As copie
 change case, there are two readings: with names as placeholders, and with names as words.
 Windows of ``WINDOW`` template words with at least ``LITERALS`` bare words are hashed and
 joined with the windows of the benchmark; a benchmark text shorter than a window is one
-window of its own length. A document's windows first pass a bitmap of the benchmark's
+window of its own length. A third reading is literal: the words themselves, numbers and
+units too, without the condition on bare words, so a verbatim passage is found however
+dense in numbers it is. A document's windows first pass a bitmap of the benchmark's
 hashes, which has a fixed size and lets every match through, so only likely matches leave
 the scan.
 
@@ -99,6 +101,8 @@ def template(text: str, codes) -> tuple[np.ndarray, list[tuple[int, np.ndarray,
     readings = [(0, plain, slot, np.ones(len(own), bool))]
     if name.any():
         readings.append((1, np.where(name, _NAME_SLOT, plain), slot | name, name))
+    if slot.any():
+        readings.append((LITERAL, own, np.zeros(len(own), bool), slot))
     return own, readings
 
 

@@ -305,7 +305,19 @@ def test_leaks_beside_other_variants(spark):
     df = spark.createDataFrame(docs, "doc_id bigint, text string")
     got = {r.doc_id: r for r in decontaminate.leaks(df, bench).collect()}
     assert set(got) == {d for d, _ in docs}
-    assert all(r.exact == (d < 100) and r.n_windows == r.n_item_windows for d, r in got.items())
+    assert all(r.exact == (d < 100) and r.n_windows == r.n_item_windows == 6 for d, r in got.items())
+
+
+def test_leaks_dense_in_numbers(spark):
+    items = [(1, "Compute 12 times 30 plus 5"), (2, "12 30 5"), (3, "Take 3 from 4 km and 5 from 6 km and 7 from 8 km"), (4, "12")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = [
+        (1, "please compute 12 times 30, plus 5 now"), (2, "it is 12 30 5"), (3, "x " + items[2][1] + " y"),
+        (4, "please compute 13 times 30 plus 5 now"), (5, "take 4 from 4 km and 5 from 7 km and 7 from 9 km"),
+    ]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.leaks(df, bench).collect()}
+    assert set(got) == {(1, 1), (1, 4), (2, 2), (2, 4), (3, 3)} and all(r.exact for r in got.values())
 
 
 def test_pipeline_equals_its_stages_one_by_one(spark):
