@@ -8,7 +8,7 @@ columns of ``docs``. ``run`` writes every stage as Parquet to the shared folder
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -34,10 +34,16 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs, quality.fit(sample), threshold=0.3)
 
 
+def _text_key() -> Column:
+    """A key of the row's own for a stage: of its text, so copies share it; there for rows without id too."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id.
 
-    Of equal rows one stays; documents without id cannot be grouped and stay.
+    Of equal rows one stays. Documents without id are grouped among themselves, by a key of
+    their text, and one of each group stays; they are not held against documents with id.
     """
     groups = minhash.near_groups(docs, width=5, percent=80)
     kept = groups.where("kept").select("doc_id").distinct()
@@ -48,13 +54,24 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         .where("_number = 1")
         .select(*docs.columns)
     )
-    return named.unionByName(docs.where("doc_id is null"))
+    unnamed = docs.where("doc_id is null")
+    if unnamed.isEmpty():
+        return named
+    # one row for each text; a null text is the empty one
+    alone = stored(
+        unnamed.withColumns({"_key": _text_key(), "_text": F.coalesce("text", F.lit(""))}).dropDuplicates(["_text"]), "unnamed"
+    )
+    groups = minhash.near_groups(alone, width=5, percent=80, id_col="_key", text_col="_text")
+    kept = groups.where("kept").select(F.col("doc_id").alias("_key")).distinct()
+    return named.unionByName(alone.join(kept, "_key", "left_semi").select(*docs.columns))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
-    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """Documents without a passage of the benchmark, whether they have an id or not."""
+    keyed = docs.withColumn("_key", _text_key())
+    found = decontaminate.leaks(keyed, table(spark, sf_dir, "benchmark"), id_col="_key")
+    leaking = found.select(F.col("doc_id").alias("_key")).distinct()
+    return keyed.join(leaking, "_key", "left_anti").select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

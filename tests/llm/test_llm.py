@@ -343,3 +343,15 @@ def test_pipeline_keeps_one_of_equal_rows(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("kept", F.lit(1))
     got = corpus_pipeline.drop_copies(spark, df, SMALL).collect()
     assert sorted((r.doc_id or 0) for r in got) == [0, 1, 3]
+
+
+def test_pipeline_judges_rows_without_id(spark):
+    leak = spark.read.parquet(f"{SMALL}/benchmark.parquet").orderBy(F.length("text").desc()).first().text
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, f"{words} end{i % 2}") for i in range(6)] + [(None, None), (None, ""), (7, words), (8, f"so {leak}"), (None, f"so {leak}")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_copies(spark, df, SMALL).collect()]
+    assert sum(d is None and (t or "").startswith("w0 ") for d, t in got) == 1
+    assert sum(d is None and not t for d, t in got) == 1 and len(got) == 5
+    left = [(r.doc_id, r.text) for r in corpus_pipeline.drop_leaks(spark, df, SMALL).collect()]
+    assert len(left) == 9 and not any(leak in (t or "") for _, t in left)
