@@ -1,8 +1,11 @@
 """Document fingerprints from spot signatures.
 
 A spot is a common word (the anchor) with the content words that follow it, at most
-``CHAIN`` and up to the next anchor; the beginning of a text is an anchor too. A text's
-fingerprint is the sorted set of its spots' 32-bit hashes, written as hexadecimal numbers.
+``CHAIN`` and up to the next anchor; the beginning of a text is an anchor too. What is left
+up to the next anchor gives spots as well: it is cut before every word whose hash divides by
+``CUT``, and each piece is a spot with all its words. So every word is in a spot, also in
+texts of other languages, and a change moves only the spots it touches. Letters of scripts
+that put no blanks between words count as words. A text's fingerprint is the sorted set of its spots' 32-bit hashes, written as hexadecimal numbers.
 The likeness of two fingerprints is the Jaccard similarity of their sets; two empty ones
 are equal, likeness 1. ``search`` compares only sets of near lengths: it partitions by
 length, and joins on the first hashes of a set, of which similar sets must share one.
@@ -23,7 +26,7 @@ from pyspark.sql.window import Window
 
 from foretell.llm.common import stored, texts_of
 
-CHAIN = 3
+CHAIN, CUT = 3, 4
 # fixed values: common words of four languages
 ANCHORS = (
     "the of and to in is that for it as was with be by on are from this at or an not "
@@ -31,6 +34,7 @@ ANCHORS = (
     "le la les de des et un une est que pour dans par sur avec au en du qui ne pas "
     "el los las y que del por con para se al lo como más su una no es"
 )
+_UNSPACED = "".join(rf"\p{{Is{name}}}" for name in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
 _MARK = "\u0001"
 #: Documents in a bucket of neighbours, about; coarse buckets.
 BUCKET, COARSE = 20_000, 64
@@ -46,14 +50,24 @@ def spots(text: Column) -> Column:
     anchors = "|".join(sorted(set(ANCHORS.split()), key=lambda w: (-len(w), w)))
     short = lambda piece: F.substring_index(F.rtrim(piece), " ", CHAIN + 1)
 
+    def chains(stretch):
+        # an anchor right before another one, or at the end, has no chain
+        head = short(stretch)
+        rest = F.split(F.substring(stretch, F.length(head) + 2, F.length(stretch)), " ")
+        cut = F.transform(rest, lambda w: F.when(F.pmod(F.hash(w), F.lit(CUT)) == 0, F.concat(F.lit(_MARK), w)).otherwise(w))
+        pieces = F.transform(F.split(F.array_join(cut, " "), _MARK), F.trim)
+        return F.concat(F.filter(F.array(head), lambda c: F.instr(c, " ") > 0), F.filter(pieces, lambda c: c != ""))
+
     def of_words(words):
         marked = F.regexp_replace(words, f"(?<![^ ])(?:{anchors})(?![^ ])", f"{_MARK}$0")
-        # an anchor right before another one, or at the end, has no chain; the beginning always has one
-        chains = F.filter(F.transform(F.split(marked, _MARK), short), lambda c: F.instr(c, " ") > 0)
+        stretches = F.transform(F.split(marked, _MARK), F.rtrim)
+        # the beginning always has a chain
         begun = F.filter(F.array(short(words)), lambda c: c != "")
-        return F.array_sort(F.array_distinct(F.transform(F.concat(begun, chains), lambda c: F.hash(c))))
+        found = F.concat(begun, F.flatten(F.transform(stretches, chains)))
+        return F.array_sort(F.array_distinct(F.transform(found, lambda c: F.hash(c))))
 
-    return _let(F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), of_words)
+    apart = F.regexp_replace(F.lower(text), f"[{_UNSPACED}]", " $0 ")
+    return _let(F.trim(F.regexp_replace(apart, r"[^\p{L}\p{N}]+", " ")), of_words)
 
 
 def fingerprint(found: Column) -> Column:

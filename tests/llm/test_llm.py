@@ -170,6 +170,27 @@ def test_spots(spark, cases):
         assert by_id[doc].near_next == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
 
 
+def test_spots_cover_the_whole_text(spark):
+    def found(*texts):
+        rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+        return [set(r[0]) for r in rows.select("doc_id", spotsigs.spots(F.col("text")).alias("s")).orderBy("doc_id").select("s").collect()]
+
+    words = [f"item{i}x" for i in range(128)]
+    other = [f"thing{i}y" for i in range(64)]
+    cjk = "".join(chr(0x4E00 + 7 * i) for i in range(100))
+    whole, half, head, behind, near, east, east_half = found(
+        " ".join(words), " ".join(words[:64] + other), " ".join(words[:4] + other), "the " + " ".join(words),
+        " ".join([*words[:50], "more", *words[50:]]), cjk, cjk[:50] + cjk[50:][::-1],
+    )
+    like = lambda a, b: len(a & b) / len(a | b)
+    assert 0.2 < like(whole, half) < 0.5 and like(whole, head) < 0.1
+    assert like(whole, near) > 0.8 and like(whole, behind) > 0.7
+    assert 0.2 < like(east, east_half) < 0.8
+    # any word that changes changes the spots
+    changed = found(" ".join(words), *(" ".join([*words[:i], "new", *words[i + 1 :]]) for i in range(0, 128, 9)))
+    assert all(changed[0] != c for c in changed[1:])
+
+
 def test_spot_search_equals_all_pairs(spark):
     docs = texts_of(spark.read.parquet(f"{SMALL}/documents.parquet"), "doc_id", "text")
     sets = docs.select("doc_id", spotsigs.spots(F.col("text")).alias("spots")).cache()
