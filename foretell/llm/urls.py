@@ -2,9 +2,10 @@
 
 The tree grows level by level on counts of distinct (host, path) branches, not on pages:
 a segment with a digit, or one of very many rare ones under its parent, becomes a wildcard
-``*``; levels below ``LEVELS`` fold into ``**``. Sibling templates of a parent whose share
+``*``. Below ``LEVELS`` it goes on as long as a template has several branches; what is left
+of a single one folds into ``**``. Sibling templates of a parent whose share
 of blocked pages does not differ by two standard errors are merged. Labels are the pages
-that a rule judges. A host's share of blocked pages is smoothed towards its domain's (last
+that a rule judges and the urls given as labelled. A host's share of blocked pages is smoothed towards its domain's (last
 two names), the domain's towards that of all pages, and a template's towards the middle
 between its host's and one half: other branches of a host are a hint, but without labels
 of its own no template reaches ``THRESHOLD``, from which it is rejected.
@@ -22,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from foretell.llm.common import stored
+
 LEVELS, STRENGTH, THRESHOLD, ERRORS = 3, 5.0, 0.8, 2.0
 #: Children of a parent from which on rare ones, with less than the share, are wildcards.
 MANY, RARE = 20, 0.05
@@ -55,23 +58,35 @@ def template_tree(branches: DataFrame) -> DataFrame:
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
     level = branches.select("host", "path", "n", segments.alias("segments"), F.lit("").alias("template"))
     for depth in range(LEVELS):
-        own = F.get("segments", F.lit(depth))
-        level = level.withColumn(
-            "segment", F.when(own.isNull(), "").when(own.rlike("[0-9]"), "*").otherwise(own)
-        )
-        parent = Window.partitionBy("host", "template")
-        children = (
-            level.groupBy("host", "template", "segment")
-            .agg(F.sum("n").alias("pages"))
-            .withColumns({"children": F.count("*").over(parent), "all_pages": F.sum("pages").over(parent)})
-        )
-        rare = (F.col("children") > MANY) & (F.col("pages") < RARE * F.col("all_pages")) & (F.col("segment") != "")
-        named = children.select("host", "template", "segment", F.when(rare, "*").otherwise(F.col("segment")).alias("name"))
-        level = level.join(named, ["host", "template", "segment"]).withColumn(
-            "template", F.when(F.col("name") == "", F.col("template")).otherwise(F.concat("template", F.lit("/"), "name"))
-        ).drop("segment", "name")
-    deeper = F.when(F.size("segments") > LEVELS, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))
-    return level.select("host", "path", deeper.alias("template"))
+        level = _next_level(level, depth)
+    level, depth = stored(level, "templates"), LEVELS
+    out = level.where(F.size("segments") <= depth).select("host", "path", "template")
+    growing = level.where(F.size("segments") > depth)
+    while not growing.isEmpty():
+        lone = growing.groupBy("host", "template").agg((F.count("*") == 1).alias("lone"))
+        growing = growing.join(lone, ["host", "template"])
+        folded = growing.where("lone").select("host", "path", F.concat("template", F.lit("/**")).alias("template"))
+        level, depth = stored(_next_level(growing.where("not lone").drop("lone"), depth), "templates"), depth + 1
+        out = out.unionByName(folded).unionByName(level.where(F.size("segments") <= depth).select("host", "path", "template"))
+        growing = level.where(F.size("segments") > depth)
+    return out
+
+
+def _next_level(level: DataFrame, depth: int) -> DataFrame:
+    """The rows with the next segment, or a wildcard for it, at the end of their templates."""
+    own = F.get("segments", F.lit(depth))
+    level = level.withColumn("segment", F.when(own.isNull(), "").when(own.rlike("[0-9]"), "*").otherwise(own))
+    parent = Window.partitionBy("host", "template")
+    children = (
+        level.groupBy("host", "template", "segment")
+        .agg(F.sum("n").alias("pages"))
+        .withColumns({"children": F.count("*").over(parent), "all_pages": F.sum("pages").over(parent)})
+    )
+    rare = (F.col("children") > MANY) & (F.col("pages") < RARE * F.col("all_pages")) & (F.col("segment") != "")
+    named = children.select("host", "template", "segment", F.when(rare, "*").otherwise(F.col("segment")).alias("name"))
+    return level.join(named, ["host", "template", "segment"]).withColumn(
+        "template", F.when(F.col("name") == "", F.col("template")).otherwise(F.concat("template", F.lit("/"), "name"))
+    ).drop("segment", "name")
 
 
 def _share(blocked: Column, labelled: Column, prior: Column) -> Column:
@@ -126,9 +141,17 @@ def template_shares(counts: DataFrame) -> DataFrame:
 
 
 def judge(
-    pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url"
+    pages: DataFrame,
+    rules: list[tuple[str, str, str]],
+    id_col: str = "page_id",
+    url_col: str = "url",
+    labelled: DataFrame | None = None,
 ) -> DataFrame:
-    """page_id, host, path, rule, verdict, template, branch, block_share for each row."""
+    """page_id, host, path, rule, verdict, template, branch, block_share for each row.
+
+    ``labelled``: urls (``url_col``) with ``blocked``, 0 or 1, that the tree learns from besides
+    the pages that a rule judges; they need not be among the pages, other values are no label.
+    """
     url = F.col(url_col)
     parsed = pages.select(F.col(id_col).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
     rule, says = rule_of(F.col("host"), F.col("path"), rules)
@@ -137,6 +160,17 @@ def judge(
     branches = parsed.groupBy("host", "path").agg(
         F.count("*").alias("n"), F.count("says").alias("labelled"), F.count_if(F.col("says") == "block").alias("blocked")
     )
+    if labelled is not None:
+        given = F.col("blocked").cast("int")
+        told = labelled.where(given.isin(0, 1)).select(
+            host_of(url).alias("host"), path_of(url).alias("path"),
+            F.lit(0).alias("n"), F.lit(1).alias("labelled"), given.alias("blocked"),
+        )
+        branches = (
+            branches.unionByName(told)
+            .groupBy("host", "path")
+            .agg(*(F.sum(c).alias(c) for c in ("n", "labelled", "blocked")))
+        )
     tree = template_tree(branches)
     counts = (
         branches.join(tree, ["host", "path"])

@@ -240,6 +240,18 @@ def test_quality_on_held_out_rows(spark):
     assert np.mean([got[d].predicted == labels[d] for d in held]) > 0.9
 
 
+def test_url_templates_below_the_third_segment_and_given_labels(spark):
+    kind = lambda i: "bad" if i % 2 else "good"
+    rows = [(i, f"http://s.org/a/b/c/{kind(i)}/x/{i}") for i in range(60)] + [(60, "http://s.org/a/q/r/s/t/u"), (61, "http://t.org/a")]
+    df = spark.createDataFrame(rows, "page_id bigint, url string")
+    told = [(f"http://s.org/a/b/c/{kind(i)}/x/{i + 1000}", i % 2) for i in range(60)] + [("http://s.org/a/b/c/good/x/1", None)]
+    labelled = spark.createDataFrame(told, "url string, blocked int")
+    got = {r.page_id: r for r in urls.judge(df, [], labelled=labelled).collect()}
+    assert len(got) == len(rows) and got[1].template == "/a/b/c/bad/x/*" and got[60].template == "/a/q/r/**"
+    assert [got[i].verdict for i in (1, 2, 59, 58, 60, 61)] == ["block", "allow", "block", "allow", "allow", "allow"]
+    assert all(r.verdict == "allow" for r in urls.judge(df, []).collect())
+
+
 def test_quality_reads_every_word():
     at = {name: i for i, name in enumerate(quality.FEATURES)}
     for text, capital, marked in (
