@@ -186,7 +186,7 @@ def fit(sample: DataFrame) -> Trees:
 
 def score(texts: DataFrame, trees: Trees, threshold: float = 0.3) -> DataFrame:
     """doc_id, score, predicted for rows of ``texts_of``."""
-    from foretell.llm.common import _arrow
+    from foretell.llm.common import arrow_schema
 
     out = texts.sparkSession.createDataFrame([], f"doc_id {dict(texts.dtypes)['doc_id']}, score double, predicted int")
 
@@ -199,7 +199,7 @@ def score(texts: DataFrame, trees: Trees, threshold: float = 0.3) -> DataFrame:
                 names=names,
             )
 
-    names = _arrow(out.schema).names
+    names = arrow_schema(out.schema).names
     return texts.mapInArrow(run, out.schema)
 
 

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foretell.llm import bpe, chat, counts, decontaminate, minhash, packing, quality, spotsigs, toxicity, urls
+from foretell.llm import (
+    bpe,
+    chat,
+    counts,
+    decontaminate,
+    minhash,
+    packing,
+    pii,
+    quality,
+    repair,
+    runs,
+    spotsigs,
+    toxicity,
+    urls,
+)
 from foretell.llm.common import remainder, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -97,6 +111,19 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scores.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = repair.damaged(table(spark, folder, "conversations"))
+    return repair.summaries(rows, present=F.col("present"))
+
+
+def op12_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.run_digests(table(spark, folder, "documents"), repeat=True)
+
+
+def op13_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.pii_digests(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -110,9 +137,91 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_chat,
         op9_decontaminate,
         op10_toxicity,
+        op11_repair,
+        op12_runs,
+        op13_pii,
     )
 }
 
+def _edit(letter: str, state: str, cost: str = "0", row: str = "''", when: str = "true") -> str:
+    """SQL of a state behind one more edit: cost, audit and repaired rows so far."""
+    return (
+        f"CASE WHEN {when} THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {state}.t || {row}}}"
+        " ELSE {'c': 1000000000::BIGINT, 'a': '', 't': ''} END"
+    )
+
+
+def _repair_sql() -> str:
+    """Cheapest and least audits row by row, for each state of the grammar."""
+    delete = [_edit("D", f"s{n}", "2") for n in range(4)]
+    kept = "chr(10) || role || ':' || text"
+
+    def stays(letter: str, state: int, to: str) -> str:
+        if letter == "K":
+            return _edit("K", f"s{state}", "late", kept, f"NOT gone AND left(role, 1) = '{to}'")
+        name = {"u": "user", "a": "assistant"}[to]
+        return _edit("R", f"s{state}", "late + 1", f"chr(10) || '{name}:' || text", "NOT gone")
+
+    user = [stays(letter, state, "u") for letter in "KR" for state in (0, 1, 3)]
+    insert_user = [_edit("I", f"s{n}", "5", "chr(10) || 'user:'") for n in (0, 1, 3)]
+    insert_assistant = _edit("I", "s2", "5", "chr(10) || 'assistant:'")
+
+    def closed(source: str) -> str:
+        return f"""SELECT conv_id, i, s0, s1, s2, least(s3, {insert_assistant}) AS s3
+            FROM (SELECT conv_id, i, s0, s1, least(s2, {", ".join(insert_user)}) AS s2, s3 FROM ({source}))"""
+
+    none = "{'c': 1000000000::BIGINT, 'a': '', 't': ''}"
+    start = f"SELECT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': '', 't': ''}} AS s0, {none} AS s1, {none} AS s2, {none} AS s3 FROM convs"
+    step = f"""SELECT conv_id, rows.i, {delete[0]} AS s0, least({delete[1]}, {stays("K", 0, "s")}) AS s1,
+            least({", ".join([delete[2], *user])}) AS s2,
+            least({delete[3]}, {stays("K", 2, "a")}, {stays("R", 2, "a")}) AS s3
+            FROM steps JOIN rows USING (conv_id) WHERE rows.i = steps.i + 1"""
+    blanks = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return rf"""
+        WITH RECURSIVE dealt AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(
+                list_prepend(4294967295::UBIGINT, list_transform(
+                    string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda l: ord(l)::UBIGINT)),
+                lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                    lambda y, z: xor(y >> 1, (y & 1) * 3988292384::UBIGINT))), 4294967295::UBIGINT) % 20 AS kind
+            FROM conversations
+        ), damaged AS (
+            SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+                CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+            FROM dealt
+        ), numbered AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i
+            FROM damaged
+        ), judged AS (
+            SELECT *, rtrim(text, {blanks}) AS said,
+                row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+                lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair
+            FROM numbered
+        ), rows AS (
+            SELECT *, CASE WHEN said = '' THEN 'blank' WHEN again THEN 'duplicate'
+                    WHEN right(said, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+                fault IN ('blank', 'duplicate') AS gone, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS late
+            FROM judged
+        ), convs AS (SELECT DISTINCT conv_id FROM conversations),
+        steps AS ({closed(start)} UNION ALL {closed(step)}),
+        counted AS (
+            SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                count(*) FILTER (fault = 'truncated') AS truncated,
+                count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM rows GROUP BY conv_id
+        ), ends AS (
+            SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+                coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, least(s0, s3) AS s
+            FROM convs c LEFT JOIN counted USING (conv_id) JOIN steps USING (conv_id) WHERE i = coalesce(n, 0)
+        )
+        SELECT conv_id, gaps, blank, duplicate, truncated, illegal, s.c AS cost, s.a AS audit,
+            sha256(substr(s.t, 2)) AS repaired_sha256
+        FROM ends
+    """
+
+
 ORACLES: dict[str, str] = {
     # all pairs of texts that share a shingle; components by spreading the smallest id
     "op1_minhash": r"""
@@ -159,4 +268,6 @@ ORACLES: dict[str, str] = {
             sha256(loss) AS loss_sha256, formatted_chars
         FROM told
     """,
+    # the least audits of a state's prefixes lead to its least whole ones: none is a prefix of another
+    "op11_repair": _repair_sql(),
 }

@@ -212,10 +212,10 @@ def fit(sample: DataFrame, ratio: float = 60.0) -> Grammar:
 
 def score(texts: DataFrame, grammar: Grammar, threshold: float = 0.7) -> DataFrame:
     """doc_id, score, predicted for rows of ``texts_of``."""
-    from foretell.llm.common import _arrow
+    from foretell.llm.common import arrow_schema
 
     out = texts.sparkSession.createDataFrame([], f"doc_id {dict(texts.dtypes)['doc_id']}, score double, predicted int")
-    names = _arrow(out.schema).names
+    names = arrow_schema(out.schema).names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols = Memo(grammar.run_symbols, 200_000).__getitem__
