@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from foretell.functions.numeric import FINE, round_to, to_units
 from foretell.functions.times import instant
 
 DAY_MICROS = 86_400_000_000
+KEYS = ("location_name", "market_type")
 
 
 def mean_of(total: Column, n: Column) -> Column:
@@ -47,69 +48,60 @@ def mean_std(df: DataFrame, keys: Sequence[str], value: Column) -> DataFrame:
     return sums.select(*keys, "n", round_to(mean, 4).alias("mean"), round_to(std, 4).alias("std"))
 
 
-def over_history(rows: DataFrame, ts: str, days: int, measures) -> DataFrame:
-    """Adds ``measures(frame)`` over each row's key and trailing ``days``, the row included.
+def over_history(rows: DataFrame, ts: str, days: int, values: Mapping[str, Column]) -> DataFrame:
+    """Adds sums of ``values`` over each row's key and trailing ``days``, rows of the same instant included.
 
-    A key's timeline is cut into chunks of ``days``; each row enters its own chunk
-    and, as history only, the next one. A frame never reaches past the previous
-    chunk, so the result is exact while no task holds more than two chunks of any
-    key, however many rows that key has.
+    A row counts from its time on and is taken off once ``days`` have passed, so the sums are
+    running totals of signed events: one pass in time order, whatever a window holds. A key's
+    timeline is cut into chunks of ``days``; the events of a chunk are its own rows and, as
+    bare values, the coming and going of the chunk before. No task holds more of a key, and
+    whole rows are shuffled once. Nulls add nothing; rows without time are dropped.
     """
     span = days * DAY_MICROS
-    home = F.floor(F.col("__at") / F.lit(span)).cast("bigint")
-    prepared = (
-        rows.withColumn("__at", F.unix_micros(F.col(ts)))
-        .withColumn("__home", home)
-        .withColumn("__chunk", F.explode(F.array(F.col("__home"), F.col("__home") + 1)))
-    )
-    frame = (
-        Window.partitionBy("location_name", "market_type", "__chunk")
-        .orderBy("__at")
-        .rangeBetween(-span, 0)
-    )
-    return (
-        prepared.withColumns(measures(frame))
-        .where(F.col("__chunk") == F.col("__home"))
-        .drop("__at", "__home", "__chunk")
+    at, home = F.col("__at"), F.floor(F.col("__at") / F.lit(span)).cast("bigint")
+    whole = F.struct(*[F.col(c) for c in rows.columns])
+    absent = F.lit(None).cast(rows.schema)
+
+    def event(chunk, order, sign, row):
+        signed = [(F.coalesce(F.col(f"__{n}"), F.lit(0)) * sign).alias(f"v{n}") for n in range(len(values))]
+        return F.struct(chunk.alias("chunk"), order.alias("order"), row.alias("row"), *signed)
+
+    # at one instant rows come first, are read next, and go last
+    events = F.array(
+        event(home, at * 2, 1, whole),
+        event(home + 1, at * 2, 1, absent),
+        event(home + 1, (at + F.lit(span)) * 2 + 1, -1, absent),
     )
+    timed = rows.withColumn("__at", F.unix_micros(F.col(ts))).where("__at is not null")
+    timed = timed.withColumns({f"__{n}": value for n, value in enumerate(values.values())})
+    exploded = timed.select(*KEYS, F.explode(events).alias("e")).select(*KEYS, "e.*")
+    running = Window.partitionBy(*KEYS, "chunk").orderBy("order")
+    sums = {name: F.sum(f"v{n}").over(running) for n, name in enumerate(values)}
+    return exploded.withColumns(sums).where("row is not null").select("row.*", *values)
 
 
 def history(aggregates: DataFrame, ts: str = "window_end", days: int = C.BASELINE_DAYS) -> DataFrame:
     """What each aggregate's baseline rests on: points and predictions behind it."""
-    return over_history(
-        aggregates,
-        ts,
-        days,
-        lambda frame: {
-            "points": F.count(F.lit(1)).over(frame),
-            "predictions": F.sum("total_predictions").over(frame),
-        },
-    )
+    total = F.col("total_predictions")
+    values = {"points": F.lit(1).cast("bigint"), "predictions": total, "__known": total.isNotNull().cast("bigint")}
+    summed = over_history(aggregates, ts, days, values)
+    return summed.withColumn("predictions", F.when(F.col("__known") > 0, F.col("predictions"))).drop("__known")
 
 
 def rolling_sums(aggregates: DataFrame, ts: str, days: int, abs_bias: bool) -> DataFrame:
     """Integer sums of the last ``days`` of a row's key, the row included."""
     bias = F.abs(F.col("bias_score")) if abs_bias else F.col("bias_score")
-    rows = aggregates.withColumns(
-        {"__acc": to_units(F.col("accuracy_rate"), 4), "__bias": to_units(bias, 4)}
-    )
-    acc, dev = F.col("__acc"), F.col("__bias")
-
-    def sums(frame):
-        def total(value):
-            return F.coalesce(F.sum(value).over(frame), F.lit(0))
-
-        return {
-            "n_rows": F.count(F.lit(1)).over(frame),
-            "n_acc": F.count(acc).over(frame),
-            "s_acc": total(acc),
-            "q_acc": total(acc * acc),
-            "n_bias": F.count(dev).over(frame),
-            "s_bias": total(dev),
-            "q_bias": total(dev * dev),
-        }
-
-    return over_history(rows, ts, days, sums).drop("__acc", "__bias")
+    acc, dev = to_units(F.col("accuracy_rate"), 4), to_units(bias, 4)
+    values = {
+        "n_rows": F.lit(1).cast("bigint"),
+        "n_acc": acc.isNotNull().cast("bigint"),
+        "s_acc": acc,
+        "q_acc": acc * acc,
+        "n_bias": dev.isNotNull().cast("bigint"),
+        "s_bias": dev,
+        "q_bias": dev * dev,
+    }
+    return over_history(aggregates, ts, days, values)
 
 
 SUM_COLUMNS = ("n_acc", "s_acc", "q_acc", "n_bias", "s_bias", "q_bias")
@@ -147,7 +139,7 @@ def recent_baselines(
     A key silent for longer has no points and gets the static thresholds. Only the last
     days are read, and they combine map-side: no window over the whole history.
     """
-    keys = ["location_name", "market_type"]
+    keys = list(KEYS)
     acc, dev = to_units(F.col("accuracy_rate"), 4), to_units(F.abs(F.col("bias_score")), 4)
     recent = aggregates.where(F.col(ts) >= instant(as_of) - F.expr(f"interval {days} days"))
     sums = recent.groupBy(*keys).agg(

@@ -1,20 +1,33 @@
 """Predictions wait, per place, for weather that can settle them.
 
-Two tagged streams meet in one keyed state: the place's newest weather and the
-predictions it could not settle. The scoring rules stay out of Python: both sides
-arrive with a bit mask computed by Spark (``functions.outcomes``), the processor
-pairs rows whose masks overlap, and the pairs are scored by the batch expressions.
+Two tagged streams meet in one keyed state: the place's newest weather and the predictions
+it could not settle. The scoring rules stay out of Python: both sides arrive with a bit mask
+computed by Spark (``functions.outcomes``), the processor pairs rows whose masks overlap, and
+the pairs are scored by the batch expressions.
 
-A busy place is spread over ``salts`` keys: predictions hash to one of them, weather
-goes to all. Pairs are the same for any number of salts.
+State is typed and kept in *pages*: waiting predictions of a key are dealt to 2^k pages by the
+hash of their market, a page being one map entry of column arrays. The key's head, one value,
+holds its newest weather and an index: for each page how many rows wait, the OR of what
+they need and the span of their times. Weather reads only pages that hold something it answers; expiry drops whole pages by the index. The number
+of pages doubles as a key's waiting rows do.
+
+A batch's rows of a key come in chunks of any size and order. Weather (a row for each poll of
+a place) is collected; predictions are kept up to ``HELD`` rows, then written to spill pages
+of the state. When the last chunk is read, one page after the other meets the sorted weather,
+so a task holds one page, its spilled part and the batch's weather of one place. Results do
+not depend on chunks, order, pages or salts.
+
+A busy place is spread over ``salts`` keys: predictions hash to one of them, weather goes to
+all. Rows without poll time or market id have no part in the join; NaN counts as null.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -24,11 +37,14 @@ from foretell.operators.scoring import correlate
 from foretell.schemas import PREDICTION, WEATHER
 
 TTL_HOURS = 24
-SALTS = 8
-#: Rows of a key handled before their pairs are passed on.
-_STEP = 10_000
-_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+SALTS = 4
+#: Predictions of a key that are held before they go to spill pages; rows a page is meant for.
+HELD = 20_000
+PAGE = 5_000
+SPILL_PAGES = 64
 _HOUR_MS = 3_600_000
+_NEVER = np.iinfo(np.int64).max
+
 # weather rows travel with what they settle, worked out once per row
 SETTLED_WEATHER = T.StructType(
     [
@@ -38,139 +54,403 @@ SETTLED_WEATHER = T.StructType(
         T.StructField("temp_f_in_c", T.DoubleType()),
     ]
 )
-_PAIR = "location_name string, prediction string, weather string"
+
+
+def _carrier(kind: T.DataType) -> str:
+    """Python gets strings and doubles only: pandas has no other nullable plain columns.
+
+    Doubles hold dates, booleans and 32-bit integers exactly; 64-bit integers go as text."""
+    return "string" if isinstance(kind, (T.StringType, T.LongType)) else "double"
+
+
+def _slots(schema: T.StructType) -> dict[str, str]:
+    """Field (nested ones as ``outer.inner``) -> the column that carries it: s0, s1, ... and d0, d1, ...
+
+    Both kinds of rows use the same columns: Spark hands rows to a stateful Python operator
+    cell by cell. The place, the times, the market's id and the mask have columns of their own.
+    """
+    out: dict[str, str] = {}
+    own = ("location_name", "poll_ts", "condition_id", "answers")
+
+    def add(fields, prefix=""):
+        for field in fields:
+            if isinstance(field.dataType, T.StructType):
+                add(field.dataType.fields, f"{field.name}.")
+            elif field.name not in own:
+                letter = _carrier(field.dataType)[0]
+                out[prefix + field.name] = letter + str(sum(slot[0] == letter for slot in out.values()))
+
+    add(schema.fields)
+    return out
+
+
+P_SLOTS, W_SLOTS = _slots(PREDICTION), _slots(SETTLED_WEATHER)
+_P, _W = list(P_SLOTS.values()), list(W_SLOTS.values())
+_SLOTS = sorted({*_P, *_W})
+_KIND = {"s": "string", "d": "double"}
+
+
+def _packed(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.DateType):
+        value = F.unix_date(value)
+    elif isinstance(kind, T.BooleanType):
+        value = value.cast("int")
+    return value.cast(_carrier(kind))
+
+
+def _unpacked(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.DateType):
+        return F.date_from_unix_date(value.cast("int"))
+    if isinstance(kind, T.BooleanType):
+        return value.cast("int").cast("boolean")
+    return value.cast(kind)
+
+
+_WAITING = ["id", "h", "at", "mask", *_P]
+_PAGE_TYPES = {"id": "string", "h": "bigint", "at": "bigint", "mask": "bigint"} | {c: _KIND[c[0]] for c in _P}
+_PAGE_SCHEMA = ", ".join(f"{c} array<{kind}>" for c, kind in _PAGE_TYPES.items())
+_OFFER = ["at", "mask", *_W]
+_OUT = ", ".join(
+    ["location_name string", "id string", "p_at bigint", "w_at bigint", "w_mask bigint"]
+    + [f"p_{c} {_KIND[c[0]]}" for c in _P]
+    + [f"w_{c} {_KIND[c[0]]}" for c in _W]
+)
+#: A key's newest weather, the timer set last, and the index over its pages.
+_HEAD_SCHEMA = ", ".join(
+    ["at bigint", "mask bigint", *(f"{c} {_KIND[c[0]]}" for c in _W), "timer bigint"]
+    + [f"{c} array<bigint>" for c in ("n", "wanted", "oldest", "newest")]
+)
+
+
+def _nulls(values: pd.Series) -> list:
+    return values.astype(object).where(values.notna(), None).tolist()
+
+
+class Pages:
+    """Waiting predictions of a key: pages by market hash, and the index over them."""
+
+    def __init__(self, index, states) -> None:
+        self.states = states
+        empty = [0], [0], [_NEVER], [0]
+        self.count, self.wanted, self.oldest, self.newest = map(list, index if index else empty)
+
+    def __len__(self) -> int:
+        return len(self.count)
+
+    def read(self, page: int) -> pd.DataFrame:
+        return _frame(self.states.getValue((0, page))) if self.count[page] else _frame(None)
+
+    def write(self, page: int, rows: pd.DataFrame) -> None:
+        had = bool(self.count[page])
+        self.count[page] = len(rows)
+        if len(rows):
+            self.states.updateValue((0, page), _row(rows))
+            self.wanted[page] = int(np.bitwise_or.reduce(rows["mask"].to_numpy()))
+            self.oldest[page], self.newest[page] = int(rows["at"].min()), int(rows["at"].max())
+        else:
+            self.wanted[page], self.oldest[page], self.newest[page] = 0, _NEVER, 0
+            if had:
+                self.states.removeKey((0, page))
+
+    def grow(self, size: int) -> None:
+        """More pages; page p's rows then belong to p, p + old size, p + 2 * old size, ..."""
+        more = size - len(self)
+        self.count += [0] * more
+        self.wanted += [0] * more
+        self.oldest += [_NEVER] * more
+        self.newest += [0] * more
+
+    def index(self) -> tuple:
+        return self.count, self.wanted, self.oldest, self.newest
+
+    def expire(self, horizon: int) -> None:
+        for page, rows in enumerate(self.count):
+            if rows and self.newest[page] < horizon:
+                self.write(page, _frame(None))
+            elif rows and self.oldest[page] < horizon:
+                kept = self.read(page)
+                self.write(page, kept[kept["at"] >= horizon])
+
+
+def _frame(row) -> pd.DataFrame:
+    columns = row if row is not None else [[] for _ in _WAITING]
+    kinds = {"string": object, "bigint": np.int64, "double": np.float64}
+    return pd.DataFrame(
+        {c: pd.Series(list(v), dtype=kinds[_PAGE_TYPES[c]]) for c, v in zip(_WAITING, columns)}
+    )
+
+
+def _row(rows: pd.DataFrame) -> tuple:
+    return tuple(_nulls(rows[c]) if _PAGE_TYPES[c] == "string" else rows[c].tolist() for c in _WAITING)
+
+
+def _in_order(rows: pd.DataFrame) -> pd.DataFrame:
+    """By time and market; polls of a market at one instant by what they say, so that chunks do not matter."""
+    keys = ["at", "id"]
+    return rows.sort_values([*keys, *_P] if rows.duplicated(keys).any() else keys, kind="stable")
+
+
+def settle(stored: pd.DataFrame, fresh: pd.DataFrame, weather: pd.DataFrame, latest: tuple | None, ttl: int):
+    """Pairs (rows, places in ``weather``; -1 for ``latest``) and the rows that go on waiting.
+
+    ``weather`` is sorted by time, ``latest`` is (mask, at) of the newest one before it.
+    ``stored`` rows wait since an earlier batch. A fresh row first meets the newest weather
+    at its own time, else it waits: the first later weather that answers it settles it, unless
+    a newer poll of its market has taken its place by then.
+    """
+    rows = pd.concat([stored, _in_order(fresh)], ignore_index=True)
+    at, mask = rows["at"].to_numpy(), rows["mask"].to_numpy()
+    when, answers = weather["at"].to_numpy(), weather["mask"].to_numpy()
+    seen = np.searchsorted(when, at, side="right") - 1
+    seen[: len(stored)] = -1
+    before = latest if latest is not None else (0, 0)
+    now_mask = np.where(seen >= 0, answers[seen] if len(weather) else 0, before[0])
+    now_at = np.where(seen >= 0, when[seen] if len(weather) else 0, before[1])
+    at_once = (now_mask & mask != 0) & (now_at >= at - ttl)
+    at_once[: len(stored)] = False
+    # first later weather by the one bit that a row needs
+    later = np.full(len(rows), len(weather), dtype=np.int64)
+    for bit in np.unique(mask[~at_once]).tolist() if len(weather) else ():
+        hits = np.append(np.flatnonzero(answers & bit), len(weather))
+        mine = mask == bit
+        later[mine] = hits[np.searchsorted(hits[:-1], seen[mine] + 1)]
+    found = later < len(weather)
+    found[found] = when[later[found]] <= at[found] + ttl
+    later[~found] = len(weather)
+    waits = np.flatnonzero(~at_once)
+    # a market's newer waiting poll replaces the older one, unless that was settled before
+    order = waits[np.argsort(pd.factorize(rows["id"].to_numpy()[waits])[0], kind="stable")]
+    same = rows["id"].to_numpy()[order[:-1]] == rows["id"].to_numpy()[order[1:]]
+    replaced = np.zeros(len(rows), dtype=bool)
+    replaced[order[:-1][same & (later[order[:-1]] > seen[order[1:]])]] = True
+    paired = at_once | (found & ~replaced)
+    place = np.where(at_once, seen, later)[paired]
+    newest = when[-1] if len(weather) else before[1]
+    # what nothing can settle has only taken the place of its market's older poll
+    kept = ~paired & ~replaced & (mask != 0) & (at >= newest - ttl)
+    return rows[paired], place, rows[kept]
 
 
 class PendingJoin(StatefulProcessor):
-    """State per (place, salt); expires ``ttl_hours`` of event time after its write."""
+    """State per (place, salt); waiting rows expire ``ttl_hours`` of event time after their poll."""
 
     def __init__(self, ttl_hours: int) -> None:
         self.ttl = ttl_hours * _HOUR_MS * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # wanted: OR of the masks waiting, so weather nobody waits for reads no list
-        self.latest = handle.getValueState("latest", "payload string, mask int, at bigint, wanted int")
-        self.pending = handle.getListState("pending", "id string, payload string, mask int, at bigint")
+        self.head = handle.getValueState("head", _HEAD_SCHEMA)
+        # kind 0: waiting, 1: spilled rows of the batch at hand
+        self.pages = handle.getMapState("pages", "kind int, page bigint", _PAGE_SCHEMA)
+
+    def _read(self) -> tuple[tuple | None, int, Pages]:
+        """Newest weather, timer and pages, in one call to the state store."""
+        head = self.head.get()
+        if head is None:
+            return None, 0, Pages(None, self.pages)
+        head = tuple(head)
+        size = len(_OFFER)
+        return (head[:size] if head[0] is not None else None), head[size], Pages(head[size + 1 :], self.pages)
 
-    def _stored(self) -> dict:
-        # a market polled again replaces its waiting entry
-        return {row[0]: tuple(row) for row in self.pending.get()}
+    def _write(self, latest: tuple | None, timer: int, pages: Pages) -> None:
+        if latest is None and not any(pages.count):
+            self.head.clear()
+        else:
+            self.head.update((*(latest or (None,) * len(_OFFER)), timer, *pages.index()))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        latest = self.latest.get() if self.latest.exists() else None
-        payload, mask, at, wanted = latest if latest else (None, 0, 0, 0)
-        waiting: dict | None = None
-        added: dict = {}
-        newest = 0
-        # the batch's rows of a key come in chunks of any size and order
-        batch = pd.concat(list(rows)).sort_values(["at", "kind", "id"], na_position="first")
-        for start in range(0, len(batch), _STEP):
-            pairs = []
-            chunk = batch.iloc[start : start + _STEP]
-            for kind, id_, row_mask, row_at, text in zip(
-                chunk["kind"], chunk["id"], chunk["mask"], chunk["at"], chunk["payload"]
-            ):
-                newest = max(newest, row_at)
-                if kind == 1:
-                    # a poll that nothing can settle only replaces the waiting one of its market
-                    if row_mask and payload is not None and mask & row_mask and at >= row_at - self.ttl:
-                        pairs.append((text, payload))
-                    else:
-                        entry = (id_, text, int(row_mask), int(row_at))
-                        (added if waiting is None else waiting)[id_] = entry
-                        wanted |= int(row_mask)
-                    continue
-                payload, mask, at = text, int(row_mask), int(row_at)
-                if not wanted & mask:
-                    continue
-                if waiting is None:
-                    waiting = self._stored()
-                    waiting.update(added)
-                live = {i: e for i, e in waiting.items() if e[3] >= at - self.ttl}
-                pairs += [(e[1], payload) for e in live.values() if e[2] & mask]
-                waiting = {i: e for i, e in live.items() if e[2] and not e[2] & mask}
-                wanted = 0
-                for entry in waiting.values():
-                    wanted |= entry[2]
-            if pairs:
-                frame = pd.DataFrame(pairs, columns=["prediction", "weather"])
-                frame.insert(0, "location_name", key[0])
-                yield frame
-        if waiting is not None:
-            self._replace(waiting)
-        elif added:
-            self.pending.appendList(list(added.values()))
-        self.latest.update((payload, mask, at, wanted))
+        latest, timer, pages = self._read()
+        spills = max(SPILL_PAGES, 2 * len(pages))
+        held, offers, parts, total, newest = [], [], {}, 0, 0
+        for chunk in rows:
+            newest = max(newest, int(chunk["at"].max()))
+            asks = chunk["kind"].to_numpy() == 1
+            if not asks.all():
+                offers.append(chunk.loc[~asks, _OFFER])
+            if asks.any():
+                held.append(chunk.loc[asks, _WAITING])
+                total += len(held[-1])
+                if sum(map(len, held)) > HELD:
+                    self._spill(held, spills, parts)
+                    held = []
+        fresh = pd.concat(held, ignore_index=True) if held else _frame(None)
+        if parts and len(fresh):
+            self._spill([fresh], spills, parts)
+            fresh = _frame(None)
+        weather = self._weather(offers)
+        for survivors, stored, new in self._parts(pages, fresh, parts, spills, total, weather):
+            paired, place, kept = settle(stored, new, weather, latest and (latest[1], latest[0]), self.ttl)
+            survivors.append(kept)
+            if len(paired):
+                yield self._pairs(key[0], paired, place, weather, latest)
+        if len(weather):
+            last = weather.iloc[-1]
+            latest = (int(last["at"]), int(last["mask"]), *(None if pd.isna(last[c]) else last[c] for c in _W))
         # whole hours, so that repeated batches share one timer
-        self.handle.registerTimer(((newest + self.ttl) // 1000 // _HOUR_MS + 1) * _HOUR_MS)
+        due = ((newest + self.ttl) // 1000 // _HOUR_MS + 1) * _HOUR_MS
+        if due != timer:
+            self.handle.registerTimer(due)
+        self._write(latest, due, pages)
 
-    def _replace(self, entries: dict) -> None:
-        if entries:
-            self.pending.put(list(entries.values()))
-        else:
-            self.pending.clear()
+    @staticmethod
+    def _weather(offers: list[pd.DataFrame]) -> pd.DataFrame:
+        if not offers:
+            return pd.DataFrame({c: [] for c in _OFFER}).astype({"at": np.int64, "mask": np.int64})
+        order = ["at", W_SLOTS["obs_id"]]
+        return pd.concat(offers, ignore_index=True).sort_values(order, kind="stable", ignore_index=True)
+
+    def _spill(self, held: list[pd.DataFrame], spills: int, parts: dict[int, list[int]]) -> None:
+        """Rows to spill pages by hash; ``parts`` lists the entries of each page."""
+        rows = pd.concat(held, ignore_index=True)
+        for page, part in rows.groupby(rows["h"].to_numpy() % spills):
+            entries = parts.setdefault(int(page), [])
+            entries.append(int(page) + spills * len(entries))
+            self.pages.updateValue((1, entries[-1]), _row(part))
+
+    def _unspill(self, entries: list[int]) -> pd.DataFrame:
+        frames = []
+        for entry in entries:
+            frames.append(_frame(self.pages.getValue((1, entry))))
+            self.pages.removeKey((1, entry))
+        return pd.concat(frames, ignore_index=True) if frames else _frame(None)
+
+    def _parts(self, pages: Pages, fresh, parts, spills, total, weather):
+        """(list for survivors, waiting rows, new rows) for all that this batch touches; writes pages."""
+        answers = int(np.bitwise_or.reduce(weather["mask"].to_numpy())) if len(weather) else 0
+        old = len(pages)
+        size = old
+        while size < spills and size * PAGE < sum(pages.count) + total:
+            size *= 2
+        pages.grow(size)
+        spilled = bool(parts)
+        mine = fresh["h"].to_numpy() % size if not spilled else None
+        for page in range(old):
+            touched = [p for p in range(page, size, old)]
+            has_new = any(map(len, (parts.get(s, ()) for s in range(page, spills, old)))) if spilled else bool(
+                np.isin(mine, touched).any()
+            )
+            if not has_new and not (pages.wanted[page] & answers) and size == old:
+                continue
+            waiting = pages.read(page)
+            for target in touched:
+                survivors: list[pd.DataFrame] = []
+                # each of these holds a page's spilled rows of one hash, which no other one has
+                units = range(target, spills, size) if spilled else (target,)
+                modulus = spills if spilled else size
+                for unit in units:
+                    own = waiting[waiting["h"].to_numpy() % modulus == unit]
+                    new = self._unspill(parts.get(unit, [])) if spilled else fresh[mine == target]
+                    if len(own) or len(new):
+                        yield survivors, own, new
+                rows = [s for s in survivors if len(s)]
+                pages.write(target, pd.concat(rows, ignore_index=True) if rows else _frame(None))
+
+    @staticmethod
+    def _pairs(place_name, paired, place, weather, latest) -> pd.DataFrame:
+        out = {"location_name": place_name, "id": paired["id"].to_numpy(), "p_at": paired["at"].to_numpy()}
+        old = place < 0
+        offers = {}
+        for n, column in enumerate(_OFFER):
+            values = weather[column].to_numpy()
+            if old.any():
+                # the newest weather of earlier batches stands behind this batch's
+                values = np.append(values, np.array([latest[n]], dtype=object if column[0] == "s" else None))
+            offers[column] = values[place]
+        out |= {"w_at": offers["at"].astype(np.int64), "w_mask": offers["mask"].astype(np.int64)}
+        out |= {f"p_{c}": paired[c].to_numpy() for c in _P}
+        for c in _W:
+            out[f"w_{c}"] = offers[c].astype(np.float64) if c[0] == "d" else offers[c].astype(object)
+        return pd.DataFrame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         horizon = timerValues.getCurrentWatermarkInMs() * 1000 - self.ttl
-        live = {i: e for i, e in self._stored().items() if e[3] >= horizon}
-        self._replace(live)
-        latest = self.latest.get() if self.latest.exists() else None
-        if latest is not None and not live and latest[2] < horizon:
-            self.latest.clear()
+        latest, timer, pages = self._read()
+        pages.expire(horizon)
+        if latest is not None and not any(pages.count) and latest[0] < horizon:
+            latest = None
+        self._write(latest, timer, pages)
         return iter(())
 
     def close(self) -> None:
         pass
 
 
-def _tagged(df: DataFrame, kind: int, id_col, mask, schema) -> DataFrame:
-    payload = F.to_json(F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]), _JSON)
-    return df.select(
+def _kinds(schema: T.StructType, prefix: str = "") -> dict[str, T.DataType]:
+    out: dict[str, T.DataType] = {}
+    for field in schema.fields:
+        inner = field.dataType
+        out |= _kinds(inner, f"{field.name}.") if isinstance(inner, T.StructType) else {prefix + field.name: inner}
+    return out
+
+
+def _tagged(df: DataFrame, kind: int, id_col: Column, mask: Column, slots: dict[str, str], schema: T.StructType) -> DataFrame:
+    kinds = _kinds(schema)
+    carried = {slot: _packed(F.col(field), kinds[field]) for field, slot in slots.items()}
+    columns = [carried.get(slot, F.lit(None).cast(_KIND[slot[0]])).alias(slot) for slot in _SLOTS]
+    return df.where("poll_ts is not null").select(
         F.coalesce("location_name", F.lit("unknown")).alias("location_name"),
         F.lit(kind).alias("kind"),
         id_col.alias("id"),
-        mask.alias("mask"),
+        F.abs(F.xxhash64(id_col) % F.lit(1 << 40)).alias("h"),
+        F.coalesce(mask, F.lit(0)).cast("bigint").alias("mask"),
         F.unix_micros(F.col("poll_ts")).alias("at"),
-        payload.alias("payload"),
         "poll_ts",
+        *columns,
     )
 
 
+def _record(schema: T.StructType, prefix: str, slots: dict[str, str], outer: str = "") -> list[Column]:
+    """The columns of a record from what the processor passed on."""
+    own = {"location_name": "location_name", "condition_id": "id", "answers": "w_mask"}
+    out = []
+    for field in schema.fields:
+        if isinstance(field.dataType, T.StructType):
+            value = F.struct(*_record(field.dataType, prefix, slots, f"{field.name}."))
+        elif field.name == "poll_ts":
+            value = F.timestamp_micros(f"{prefix}at")
+        else:
+            column = own.get(field.name) or prefix + slots[outer + field.name]
+            value = _unpacked(F.col(column), field.dataType)
+        out.append(value.alias(field.name))
+    return out
+
+
 def stream_pending_join(
     predictions: DataFrame,
     weather: DataFrame,
     ttl_hours: int = TTL_HOURS,
-    salts: int = SALTS,
+    salts: int | Column = SALTS,
     lateness: str | None = None,
 ) -> DataFrame:
     """Correlation stream. Rows later than ``lateness`` (default: the state's life
-    time) are dropped; a keyed join has no use for them, its state has expired."""
+    time) are dropped; a keyed join has no use for them, its state has expired.
+
+    ``salts`` may be a column over ``location_name``: many for busy places, one for others.
+    """
     lateness = lateness or f"{ttl_hours} hours"
+    spread = F.lit(salts) if isinstance(salts, int) else salts
     asks = _tagged(
         predictions.withWatermark("poll_ts", lateness).where("condition_id is not null"),
         1,
         F.col("condition_id").cast("string"),
         needs_mask(F.col("market_type"), F.col("closed"), F.col("winner"), F.col("threshold")),
+        P_SLOTS,
         PREDICTION,
     )
-    asks = asks.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
+    # the low bits of the hash deal rows to pages
+    asks = asks.withColumn("salt", F.pmod(F.shiftright("h", 24), spread).cast("int"))
     ruled = weather.withColumns(settlement(weather)).withWatermark("poll_ts", lateness)
-    offers = _tagged(
-        ruled, 0, F.lit(None).cast("string"), F.col("answers"), SETTLED_WEATHER
-    ).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    offers = _tagged(ruled, 0, F.lit(None).cast("string"), F.col("answers"), W_SLOTS, SETTLED_WEATHER)
+    offers = offers.withColumn("salt", F.explode(F.sequence(F.lit(0), spread.cast("int") - 1)))
     pairs = (
         asks.unionByName(offers)
         .groupBy("location_name", "salt")
         .transformWithStateInPandas(
             statefulProcessor=PendingJoin(ttl_hours),
-            outputStructType=_PAIR,
+            outputStructType=_OUT,
             outputMode="append",
             timeMode="eventTime",
         )
     )
-    paired = pairs.select(
-        F.from_json("prediction", PREDICTION, _JSON).alias("p"),
-        F.from_json("weather", SETTLED_WEATHER, _JSON).alias("w"),
-    ).select("p.*", "w")
-    return correlate(paired)
+    settled = F.struct(*_record(SETTLED_WEATHER, "w_", W_SLOTS)).alias("w")
+    return correlate(pairs.select(*_record(PREDICTION, "p_", P_SLOTS), settled))
