@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame
 from foretell.llm.common import map_texts, texts_of
 from foretell.llm.vocabulary import Memo, by_run, key_of, run_words, vocabulary
 
-#: Words, and runs of words, whose encoding a Python worker remembers.
-REMEMBERED = 150_000
+#: Bytes of words, and of runs of words, whose encoding a task remembers (twice, see ``Memo``).
+REMEMBERED = 32 << 20
 
 
 class Encoder:
@@ -46,6 +46,11 @@ class Encoder:
         self.packed = Memo(self._packed, REMEMBERED)
         self.packed_run = Memo(self._packed_run, REMEMBERED)
 
+    def forget(self) -> None:
+        """At a task's end: the worker may go on with other work."""
+        self.packed.forget()
+        self.packed_run.forget()
+
     def word(self, key: str) -> list[int]:
         """Ids of one word, given as its key."""
         length, fits, shorter = self.length, self.vocab.fits, self.shorter
@@ -91,6 +96,18 @@ class Encoder:
         return b"".join(out)
 
 
+class _Slices(dict):
+    """Token strings by id, cut when first asked for; at most one for each id."""
+
+    def __init__(self, block: bytes, offsets: list[int]):
+        super().__init__()
+        self.block, self.offsets = block, offsets
+
+    def __missing__(self, token: int) -> bytes:
+        found = self[token] = self.block[self.offsets[token] : self.offsets[token + 1]]
+        return found
+
+
 class Decoder:
     """All token strings in one block of bytes, with the offset of each; a token is one slice.
 
@@ -103,10 +120,7 @@ class Decoder:
         for name in names:
             self.offsets.append(self.offsets[-1] + len(name))
         self.block = b"".join(names)
-        self._slices = Memo(self._slice, 2 * len(names))
-
-    def _slice(self, token: int) -> bytes:
-        return self.block[self.offsets[token] : self.offsets[token + 1]]
+        self._slices = _Slices(self.block, self.offsets)
 
     def decode(self, ids: bytes) -> bytes:
         """UTF-8 of the text that ``ids`` (little-endian unsigned 32-bit) stand for."""
@@ -135,7 +149,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 
         return work
 
-    return map_texts(texts_of(df, id_col, text_col), make, "n_tokens bigint, ids binary")
+    return map_texts(texts_of(df, id_col, text_col), make, "n_tokens bigint, ids binary", lambda: encoder(path).forget())
 
 
 def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -172,4 +186,4 @@ def round_trip(
 
     more = ", ids binary" if with_ids else ""
     schema = f"n_tokens bigint, ids_sha256 string, decoded_sha256 string{more}"
-    return map_texts(texts_of(df, id_col, text_col), make, schema)
+    return map_texts(texts_of(df, id_col, text_col), make, schema, lambda: encoder(path).forget())

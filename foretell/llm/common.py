@@ -42,8 +42,11 @@ def slices(batch: pa.RecordBatch, column: int, limit: int = 0) -> Iterator[pa.Re
         start = stop
 
 
-def map_rows(df: DataFrame, make: Callable[[], Callable[..., tuple]], schema: str) -> DataFrame:
-    """One result tuple for each (id, text), in Arrow batches; ``make`` runs once for each task.
+def map_rows(
+    df: DataFrame, make: Callable[[], Callable[..., tuple]], schema: str, done: Callable[[], None] | None = None
+) -> DataFrame:
+    """One result tuple for each (id, text), in Arrow batches; ``make`` runs once for each task,
+    and ``done`` when it ends.
 
     ``df`` comes from ``texts_of``; ``schema`` lists the columns after doc_id.
     """
@@ -53,23 +56,30 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[..., tuple]], schema: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
-            for part in slices(batch, 1):
-                found = list(map(work, part.column(0).to_pylist(), part.column(1).to_pylist()))
-                arrays = [part.column(0)] + [pa.array(c, f.type) for c, f in zip(map(list, zip(*found)), list(arrow)[1:])]
-                yield pa.RecordBatch.from_arrays(arrays, names=arrow.names)
+        try:
+            for batch in batches:
+                for part in slices(batch, 1):
+                    found = list(map(work, part.column(0).to_pylist(), part.column(1).to_pylist()))
+                    columns = zip(map(list, zip(*found)), list(arrow)[1:])
+                    arrays = [part.column(0)] + [pa.array(c, f.type) for c, f in columns]
+                    yield pa.RecordBatch.from_arrays(arrays, names=arrow.names)
+        finally:
+            if done is not None:
+                done()
 
     return df.mapInArrow(run, out)
 
 
-def map_texts(df: DataFrame, make: Callable[[], Callable[[str], tuple]], schema: str) -> DataFrame:
+def map_texts(
+    df: DataFrame, make: Callable[[], Callable[[str], tuple]], schema: str, done: Callable[[], None] | None = None
+) -> DataFrame:
     """Same for work that needs no id."""
 
     def without_id():
         work = make()
         return lambda _, text: work(text)
 
-    return map_rows(df, without_id, schema)
+    return map_rows(df, without_id, schema, done)
 
 
 def filter_texts(df: DataFrame, make: Callable[[], Callable[[list[str]], list[bool]]], text_col: str = "text") -> DataFrame:

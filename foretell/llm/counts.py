@@ -27,7 +27,7 @@ from foretell.llm.common import map_texts, texts_of
 from foretell.llm.vocabulary import Memo, by_run, key_of, run_words, vocabulary
 
 #: Code points in a chunk; words whose count, and states whose transitions, a worker keeps.
-CHUNK, REMEMBERED, STATES = 1 << 16, 250_000, 200_000
+CHUNK, REMEMBERED, STATES = 1 << 16, 48 << 20, 200_000
 #: Blanks that reset the transducer and are blanks by every rule.
 _BLANK = re.compile(r"[ \t\n\r]")
 _START = ((0, -1, 0),)

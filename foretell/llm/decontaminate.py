@@ -48,6 +48,8 @@ from foretell.llm.minhash import _M1, _mix, _rows_hash
 from foretell.llm.vocabulary import Memo
 
 WINDOW, LITERALS, BITS = 8, 5, 1 << 24
+#: Bytes of words that a task remembers (twice), matched windows that it passes on at a time.
+REMEMBERED, PASSED = 40 << 20, 10_000
 # fixed values: unit words and signs
 UNITS = frozenset(
     "km m cm mm mi mile miles ft foot feet inch inches kg g mg lb lbs pound pounds ton tons l ml liter liters litre litres "
@@ -145,7 +147,13 @@ def _mapper(bitmap: np.ndarray | None, narrow: int):
     widths = [WINDOW] + [w for w in range(1, WINDOW) if narrow >> w & 1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = Memo(_code, 250_000).__getitem__
+        codes = Memo(_code, REMEMBERED).__getitem__
+
+        def passed(rows: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*rows)) if rows else [[] for _ in schema_names]
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()))
+            return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=schema_names)
+
         for batch in batches:
             rows: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -161,9 +169,10 @@ def _mapper(bitmap: np.ndarray | None, narrow: int):
                         places, hashes = places[likely], hashes[likely]
                     for place, value in zip(places.tolist(), hashes.view(np.int64).tolist()):
                         rows.append((doc, reading, place, value, slots[place : place + width].view(np.int64).tolist()))
-            columns = list(zip(*rows)) if rows else [[] for _ in schema_names]
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=schema_names)
+                if len(rows) > PASSED:
+                    yield passed(rows)
+                    rows = []
+            yield passed(rows)
 
     return run
 

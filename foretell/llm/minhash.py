@@ -41,7 +41,6 @@ read.
 
 from __future__ import annotations
 
-from functools import lru_cache
 
 import numpy as np
 import xxhash
@@ -50,7 +49,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from foretell.llm.common import map_texts, stored, texts_of
-from foretell.llm.vocabulary import Memo
 
 #: Sketch size, values in a run, set size below which runs of two count, longest short list.
 K, RUN, SMALL, SHORT = 96, 4, 16, 64
@@ -77,17 +75,12 @@ def _rows_hash(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-@lru_cache(1)
-def _word_hashes() -> Memo:
-    return Memo(lambda word: xxhash.xxh64_intdigest(word), 300_000)
-
-
 def shingle_hashes(text: str, width: int) -> np.ndarray:
     """The sorted distinct hashes of a text's shingles."""
     words = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
     if not words:
         return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(_word_hashes().__getitem__, words), np.uint64, len(words))
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
     # a set is a sorted array; np.unique() costs several times as much
     values = np.sort(_rows_hash(hashes, min(width, len(words))))
     return values[np.concatenate(([True], values[1:] != values[:-1]))]

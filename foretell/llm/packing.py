@@ -35,7 +35,7 @@ from foretell.llm.common import texts_of
 from foretell.llm.vocabulary import Memo
 
 #: Runs between blanks whose ids a Python worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 80 << 20
 _ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
 SCHEMA = (
     "shard int, row bigint, n_tokens int, id_bytes int, ids binary, cu_seqlens array<int>, "

@@ -53,6 +53,8 @@ PLAIN, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
 MODES = ("plain", "aimed", "negated", "reported")
 #: Words that a negation reaches, letters of a word beginning, lexicon entries at most.
 REACH, BEGINNING, ENTRIES = 3, 4, 20_000
+#: Bytes of words that a task remembers, twice.
+REMEMBERED = 36 << 20
 _WORD = re.compile(r"[^\W\d_]+")
 _ENDS = frozenset(".!?;:")
 
@@ -201,7 +203,7 @@ def fit(sample: DataFrame, ratio: float = 60.0) -> Grammar:
     tagged = sample.select(F.struct("doc_id", "label").alias("doc_id"), "text")
 
     def make():
-        symbols = Memo(grammar.run_symbols, 200_000).__getitem__
+        symbols = Memo(grammar.run_symbols, REMEMBERED).__getitem__
         return lambda text: (grammar.features(text, symbols),)
 
     rows = map_texts(tagged, make, "x array<double>").select("doc_id.doc_id", "doc_id.label", "x").collect()
@@ -218,7 +220,7 @@ def score(texts: DataFrame, grammar: Grammar, threshold: float = 0.7) -> DataFra
     names = arrow_schema(out.schema).names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols = Memo(grammar.run_symbols, 200_000).__getitem__
+        symbols = Memo(grammar.run_symbols, REMEMBERED).__getitem__
         for batch in batches:
             x = np.array([grammar.features(t.as_py(), symbols) for t in batch.column(1)]).reshape(batch.num_rows, len(MODES) + 1)
             s = grammar.score(x) if batch.num_rows else np.zeros(0)
@@ -234,7 +236,7 @@ def keep_clean(docs: DataFrame, grammar: Grammar, threshold: float = 0.7, text_c
     """The rows, with all their columns, that are not rejected."""
 
     def make():
-        symbols = Memo(grammar.run_symbols, 200_000).__getitem__
+        symbols = Memo(grammar.run_symbols, REMEMBERED).__getitem__
 
         def judge(texts):
             x = np.array([grammar.features(t, symbols) for t in texts]).reshape(len(texts), len(MODES) + 1)

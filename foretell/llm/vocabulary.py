@@ -18,6 +18,8 @@ import numpy as np
 import regex
 
 END = 0x1000
+#: Pairs of tokens remembered, of two numbers each.
+PAIRS = 200_000
 # fixed values: the splitting pattern of the vocabulary, in two spellings
 _USUAL = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 _EXACT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
@@ -112,7 +114,7 @@ class Vocabulary:
             keys[i] = keys[x] + keys[y]
         self.keys = keys
         self.tokens = {k: i for i, k in enumerate(keys) if k}
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}
         pattern = "|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))
         self._special = re.compile(f"({pattern})") if pattern else None
 
@@ -127,11 +129,12 @@ class Vocabulary:
         If a merge across the seam ever comes first, the pair does not occur. At equal rank
         the merge further left comes first.
         """
-        known = self._pairs.get((a, b))
+        pair = a * len(self.keys) + b
+        known = self._pairs.get(pair)
         if known is None:
-            if len(self._pairs) > 400_000:
+            if len(self._pairs) > PAIRS:
                 self._pairs.clear()
-            known = self._pairs[a, b] = self._seam(a, b)
+            known = self._pairs[pair] = self._seam(a, b)
         return known
 
     def _seam(self, a: int, b: int) -> bool:
@@ -158,18 +161,33 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+#: Words from this length on are worked out each time.
+LONG = 10_000
+
+
 class Memo(dict):
-    """Results by word for the words seen lately, at most twice ``bound`` of them."""
+    """Results by word for the words seen lately, in at most twice ``bound`` bytes.
+
+    Long words, of which few would fill it, are not remembered.
+    """
+
+    #: Of an entry besides its word and result: two objects and their place in a table.
+    ENTRY = 160
 
     def __init__(self, work, bound: int):
         super().__init__()
-        self.work, self.bound, self.before = work, bound, {}
+        self.work, self.bound, self.before, self.used = work, bound, {}, 0
+
+    def forget(self) -> None:
+        self.clear()
+        self.before, self.used = {}, 0
 
     def __missing__(self, word):
         result = self.before.get(word)
         if result is None:
             result = self.work(word)
-        self.learn(word, result)
+        if len(word) < LONG:
+            self.learn(word, result)
         return result
 
     def recall(self, word) -> bool:
@@ -180,7 +198,8 @@ class Memo(dict):
         return result is not None
 
     def learn(self, word, result) -> None:
-        if len(self) >= self.bound:
-            self.before = dict(self)
+        self.used += Memo.ENTRY + len(word) + (len(result) if isinstance(result, (bytes, str)) else 0)
+        if self.used > self.bound:
+            self.before, self.used = dict(self), 0
             self.clear()
         self[word] = result
