@@ -8,12 +8,14 @@ from foretell.checks import check
 from foretell.checks.sql import NOW, base_rate, fix, judged, pct, q, rnd, sfix, units
 from foretell.functions.text import base_rate as base_rate_of
 from foretell.operators import alerts as L
+from foretell.operators.upsert import ALERT_KEYS
 from foretell.operators import summaries as M
 from foretell.operators.baseline import baselines
 from foretell.operators.scoring import with_outcome
 from foretell.operators.lookup import attach_weather, weather_snapshot
 from foretell.plans.fixtures import AS_OF, POLL_ORDER
 from foretell.plans.jobs import anomaly_job
+from foretell.sources.tables import compacted_view
 from foretell.plans.views import query_view
 
 _SUBJECT = "location_name || ' ' || market_type"
@@ -240,17 +242,32 @@ def _union(f):
     return L.detect_all(*_run_inputs(f), AS_OF, POLL_ORDER)
 
 
-@check(
-    "anomaly_job",
-    _run_sql(f"""SELECT alert_id, alert_type, severity, location_name, market_type, message, metric_value, threshold_value, deviation,
-          price_sum, arbitrage_margin, detected_at, is_resolved, resolved_at FROM (
-          SELECT * EXCLUDE (is_resolved, resolved_at, hit), is_resolved OR hit AS is_resolved, CASE WHEN hit THEN {NOW} ELSE resolved_at END AS resolved_at
-          FROM (SELECT *, alert_type = 'producer_timeout' AND NOT is_resolved AND EXISTS (SELECT 1 FROM latest_health l
-             WHERE l.component = a.location_name AND l.recorded_at > {NOW} - INTERVAL 10 MINUTE) AS hit FROM stored_alerts a)
-          UNION ALL BY NAME {_RUN.replace("@", ", false AS is_resolved")})""", "stored_alerts"),
-)
+_KEPT = ("alert_id", "threshold_value", "deviation", "price_sum", "arbitrage_margin", "is_resolved", "resolved_at")
+_SET = ("severity", "message", "metric_value", "detected_at")
+_KEY = ("alert_type", "location_name", "market_type")
+_BY_KEY = f"PARTITION BY {', '.join(_KEY)} ORDER BY coalesce(metric_value, '-infinity'::DOUBLE)"
+_SAVED = f"""SELECT {", ".join(f"coalesce(o.{c}, n.{c}) AS {c}" for c in _KEY)},
+    {", ".join(f"CASE WHEN n.alert_type IS NOT NULL THEN n.{c} ELSE o.{c} END AS {c}" for c in _SET)},
+    {", ".join(f"CASE WHEN o.alert_type IS NOT NULL THEN o.{c} ELSE n.{c} END AS {c}" for c in _KEPT)}
+  FROM (SELECT * EXCLUDE (is_resolved, resolved_at, hit), is_resolved OR hit AS is_resolved,
+      CASE WHEN hit THEN {NOW} ELSE resolved_at END AS resolved_at,
+      NULL::DOUBLE AS deviation, NULL::DOUBLE AS price_sum, NULL::DOUBLE AS arbitrage_margin
+    FROM (SELECT *, alert_type = 'producer_timeout' AND NOT is_resolved AND EXISTS (SELECT 1 FROM latest_health l
+        WHERE l.component = a.location_name AND l.recorded_at > {NOW} - INTERVAL 10 MINUTE) AS hit
+      FROM (SELECT * FROM stored_alerts
+        QUALIFY row_number() OVER (PARTITION BY {", ".join(_KEY)} ORDER BY alert_id DESC) = 1) a)) o
+  FULL JOIN (SELECT {", ".join(_KEY)}, {", ".join(f"l.{c}" for c in _SET)}, {", ".join(f"f.{c}" for c in _KEPT)}
+    FROM (SELECT * FROM fired QUALIFY row_number() OVER ({_BY_KEY}, message) = 1) f
+    JOIN (SELECT * FROM fired QUALIFY row_number() OVER ({_BY_KEY} DESC, message DESC) = 1) l USING ({", ".join(_KEY)})) n
+  USING ({", ".join(_KEY)})"""
+_FIRED = _RUN.replace("@", ", NULL::BIGINT AS alert_id, false AS is_resolved, NULL::TIMESTAMP AS resolved_at")
+
+
+@check("anomaly_job", _run_sql(f"SELECT * FROM (WITH fired AS ({_FIRED}) {_SAVED})", "stored_alerts"))
 def _anomaly_job(f):
-    return anomaly_job(f.stored_alerts, *_run_inputs(f), AS_OF, POLL_ORDER)
+    """Over the newest stored alert of each key, as the stored table holds one for each."""
+    standing = compacted_view(f.stored_alerts, ALERT_KEYS, "alert_id")
+    return anomaly_job(standing, *_run_inputs(f), AS_OF, POLL_ORDER)
 
 
 @check(

@@ -16,6 +16,7 @@ from foretell.operators import upsert as U
 from foretell.operators.accuracy import GROUP
 from foretell.plans.fixtures import Fixtures
 from foretell.sources import tables, topics
+from foretell.sources.changelog import ChangeLog
 from foretell.sources.session import scratch
 from foretell.streaming.hopping import stream_hopping
 from foretell.streaming.keyed import key_by, windowed_counts
@@ -153,17 +154,21 @@ def _append_alert(f):
            arg_min(is_resolved, alert_id) AS is_resolved, max(detected_at) AS detected_at FROM stored_alerts GROUP BY 1, 2, 3""", "stored_alerts"),
 )
 def _idempotent(f):
-    """Every micro-batch is delivered twice; the table is as if it came once."""
-    log = f.stored_alerts.drop("resolved_at")
-    path = scratch(f.spark, "alert-log")
-    write = tables.upsert_sink(path)
+    """Every micro-batch is delivered twice, and the topic once more from a new checkpoint, with
+    a compaction in between; the table is as if each change came once."""
+    changes = f.stored_alerts.drop("resolved_at")
+    log = ChangeLog(f.spark, scratch(f.spark, "alert-log"), U.ALERT_KEYS, U.ALERT_UPDATES, "alert_id")
+    write = log.sink()
 
     def twice(batch, batch_id):
         write(batch, batch_id)
         write(batch, batch_id)
 
-    drain_each(_stored_stream(f, log, "alerts"), "twice", twice)
-    return tables.read_changes(f.spark, path, U.ALERT_KEYS, U.ALERT_UPDATES, "alert_id")
+    topic = _stored_stream(f, changes, "alerts")
+    drain_each(topic, "twice", twice)
+    log.compact()
+    drain_each(topic, "again", twice)
+    return log.read()
 
 
 # -- lateness, retention, restart ---------------------------------------------------------

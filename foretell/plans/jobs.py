@@ -12,7 +12,15 @@ from foretell.operators.accuracy import accuracy, drop_snapshot, label_window
 from foretell.operators.alerts import auto_resolve, detect_all
 from foretell.operators.scoring import score
 from foretell.operators.toprow import prefer_closed, prefer_winner
-from foretell.operators.upsert import AGGREGATE_KEYS, AGGREGATE_UPDATES, insert_missing, upsert
+from foretell.operators.upsert import (
+    AGGREGATE_KEYS,
+    AGGREGATE_UPDATES,
+    ALERT_KEYS,
+    ALERT_UPDATES,
+    fold_changes,
+    insert_missing,
+    upsert,
+)
 
 
 def correlation_job(
@@ -56,7 +64,32 @@ def anomaly_job(
     as_of,
     arrival: str | Sequence[str] = "arrival",
 ) -> DataFrame:
-    """The stored ``alerts``, those of feeds that report again closed, and the run's own."""
+    """The stored ``alerts`` after a run: those of feeds that report again closed, the run's own saved.
+
+    Running it again with the same inputs changes nothing more.
+    """
     fired = detect_all(aggregates, predictions, health, expected, correlations, as_of, arrival)
     fresh = fired.withColumns({"is_resolved": F.lit(False), "resolved_at": F.lit(None).cast("timestamp")})
-    return auto_resolve(alerts, health, as_of).unionByName(fresh, allowMissingColumns=True)
+    return save_alerts(auto_resolve(alerts, health, as_of), fresh)
+
+
+def save_alerts(alerts: DataFrame, fired: DataFrame) -> DataFrame:
+    """Stored alerts after the upserts of ``fired``: one alert for each type, place and market type.
+
+    A standing alert takes the new severity, message, value and time and keeps the rest. Of a
+    run's alerts with one key the first gives what is kept and the last what is updated, in
+    order of value and message. Alerts without one of the keys never conflict.
+    """
+    def filled(df: DataFrame, other: DataFrame) -> DataFrame:
+        missing = [f for f in other.schema if f.name not in df.columns]
+        return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
+
+    alerts, rows = filled(alerts, fired), filled(fired, alerts)
+    rows = rows.select(*alerts.columns)
+    keyed = F.lit(True)
+    for key in ALERT_KEYS:
+        keyed = keyed & F.col(key).isNotNull()
+    value = F.coalesce(F.col("metric_value"), F.lit(float("-inf")))
+    log = rows.where(keyed).withColumn("__seq", F.struct(value.alias("value"), "message"))
+    folded = fold_changes(log, ALERT_KEYS, ALERT_UPDATES, "__seq").select(*alerts.columns)
+    return upsert(alerts, folded.unionByName(rows.where(~keyed)), ALERT_KEYS, ALERT_UPDATES)

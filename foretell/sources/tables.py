@@ -1,15 +1,10 @@
-"""Stored tables: scans, appends and the change log behind streaming upserts."""
+"""Stored tables: scans, appends and compacted topics. ``changelog`` holds tables that take upserts."""
 
 from __future__ import annotations
 
-import time
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from foretell.operators.upsert import fold_changes
 
 
 def scan_table(
@@ -39,35 +34,3 @@ def compacted_view(log: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
     from foretell.operators.toprow import latest_per_key
 
     return latest_per_key(log, keys, seq)
-
-
-def write_changes(batch: DataFrame, batch_id: int, path: str, stream: str = "0") -> None:
-    """Store one micro-batch of upserts. A replayed batch replaces its own folder,
-    so delivering it twice changes nothing. Each run of a stream has a folder of its own,
-    as batch ids start at 0 again with a new checkpoint; the folders' names order the runs."""
-    batch.write.mode("overwrite").parquet(f"{path}/stream={stream}/batch_id={batch_id}")
-
-
-def read_changes(
-    spark: SparkSession, path: str, keys: Sequence[str], update_cols: Sequence[str], seq: str
-) -> DataFrame:
-    """Current state of a change log: runs in order, batches of a run in order, then ``seq`` inside a batch.
-
-    A run that failed after writing may leave a batch twice, in its own and in the next run's
-    folder; applying the same upserts again changes nothing.
-    """
-    log = spark.read.parquet(path).withColumn("stream", F.col("stream").cast("string"))
-    ordered = log.withColumn("__seq", F.struct("stream", "batch_id", seq)).drop("batch_id", "stream")
-    if seq not in update_cols:
-        ordered = ordered.drop(seq)
-    return fold_changes(ordered, keys, update_cols, "__seq")
-
-
-def upsert_sink(path: str):
-    """``foreachBatch`` function writing upserts to a change log, as a run of its own."""
-    stream = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        write_changes(batch, batch_id, path, stream)
-
-    return write

@@ -2,95 +2,42 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
 from foretell.operators.alerts import cross_market_sum
 from foretell.operators.baseline import DAY_MICROS, mean_std
 from foretell.operators.upsert import insert_missing, upsert
-from foretell.sources import tables, topics
-from foretell.sources.session import scratch
-from foretell.streaming.pending_join import PendingJoin
-from foretell.streaming.rolling_alerts import RollingHistory
-
-
-class _Value:
-    def __init__(self):
-        self.row = None
-
-    def exists(self):
-        return self.row is not None
-
-    def get(self):
-        return self.row
-
-    def update(self, row):
-        self.row = row
-
-
-class _List:
-    def __init__(self):
-        self.rows = []
-
-    def get(self):
-        return iter(self.rows)
-
-    def put(self, rows):
-        self.rows = list(rows)
-
-    def appendList(self, rows):
-        self.rows += rows
-
-    def clear(self):
-        self.rows = []
-
-
-class _Handle:
-    def getValueState(self, *_):
-        return _Value()
-
-    def getListState(self, *_):
-        return _List()
-
-    def registerTimer(self, *_):
-        pass
-
-
-def _run(processor, frame, size):
-    processor.init(_Handle())
-    chunks = (frame.iloc[i : i + size] for i in range(0, len(frame), size))
-    out = list(processor.handleInputRows(("London", 0), chunks, None))
-    return pd.concat(out) if out else pd.DataFrame()
+from foretell.plans.jobs import save_alerts
+from foretell.sources import topics
+from tests import test_pending_pages, test_rolling_state
 
 
 @pytest.mark.parametrize("size", [1, 3, 10_000])
 def test_pairs_do_not_depend_on_chunks(size):
     hour = 3_600_000_000
     rows = [
-        (1, "a", 1, 5 * hour, "pa"),
-        (0, None, 1, 6 * hour, "w6"),
-        (1, "b", 2, 1 * hour, "pb"),
-        (0, None, 2, 2 * hour, "w2"),
-        (1, "c", 1, 2 * hour, "pc"),
-        (1, "c", 0, 3 * hour, "pc unsettled"),
-        (0, None, 1, 4 * hour, "w4"),
+        (1, "a", 5 * hour, 1),
+        (0, None, 6 * hour, 1),
+        (1, "b", 1 * hour, 2),
+        (0, None, 2 * hour, 2),
+        (1, "c", 2 * hour, 1),
+        (1, "c", 3 * hour, 0),
+        (0, None, 4 * hour, 1),
+    ]
+    # c was replaced by a poll that nothing settles before the weather of hour 4 came
+    assert test_pending_pages.run(test_pending_pages.processor()[0], [rows], size) == [
+        ("a", 5 * hour, 6 * hour),
+        ("b", 1 * hour, 2 * hour),
     ]
-    frame = pd.DataFrame(rows, columns=["kind", "id", "mask", "at", "payload"])
-    out = _run(PendingJoin(24), frame, size)
-    # c was replaced by a poll that nothing settles before w4 came
-    assert sorted(zip(out["prediction"], out["weather"])) == [("pa", "w4"), ("pb", "w2")]
 
 
 @pytest.mark.parametrize("size", [1, 2, 10_000])
 def test_history_does_not_depend_on_chunks(size):
-    days = np.array([3, 4, 1, 2])
-    frame = pd.DataFrame(
-        {"at": days * DAY_MICROS, "acc": 1, "bias": 0, "total_predictions": 10, "accuracy_rate": 0.1, "bias_score": 0.0}
-    )
-    out = _run(RollingHistory(7), frame, size).sort_values("at")
-    assert out["n_rows"].tolist() == [1, 2, 3, 4]
+    rows = [(day * DAY_MICROS, 1, 0) for day in (3, 4, 1, 2)]
+    assert [row[1] for row in test_rolling_state.run([rows], size)[0]] == [1, 2, 3, 4]
 
 
 def test_prices_are_not_cut_before_the_threshold(spark):
@@ -121,15 +68,36 @@ def test_upsert_lets_null_keys_by(spark):
     assert got == [(0, "m"), (0, "n"), (1, "new")]
 
 
-def test_a_new_checkpoint_keeps_stored_changes(spark):
-    path = scratch(spark, "log")
-    schema = "k string, v int, n int"
-    first, again = tables.upsert_sink(path), tables.upsert_sink(path)
-    first(spark.createDataFrame([("a", 1, 1)], schema), 0)
-    first(spark.createDataFrame([("b", 2, 1)], schema), 1)
-    again(spark.createDataFrame([("c", 3, 1), ("a", 9, 2)], schema), 0)
-    state = tables.read_changes(spark, path, ["k"], ["v"], "n")
-    assert sorted((r.k, r.v) for r in state.collect()) == [("a", 9), ("b", 2), ("c", 3)]
+def test_alerts_saved_twice_stand_once(spark):
+    schema = "alert_id bigint, alert_type string, location_name string, market_type string, severity string, message string, "
+    schema += "metric_value double, threshold_value double, is_resolved boolean, resolved_at timestamp, detected_at timestamp"
+    day = datetime(2026, 5, 1)
+    stored = spark.createDataFrame(
+        [(1, "drop", "Oslo", "RAIN", "low", "old", 0.1, 0.6, True, day, day), (2, "drop", "Rome", "RAIN", "low", "r", 0.2, 0.6, False, None, day)],
+        schema,
+    )
+    fired = [
+        ("drop", "Oslo", "RAIN", "high", "worse", 0.5, 0.7),
+        ("drop", "Oslo", "RAIN", "mid", "bad", 0.4, 0.8),
+        ("new", "Oslo", "RAIN", "mid", "b", 2.0, 0.2),
+        ("new", "Oslo", "RAIN", "mid", "a", None, 0.1),
+        ("loose", None, "RAIN", "mid", "n", 1.0, 0.1),
+    ]
+    names = "alert_type string, location_name string, market_type string, severity string, message string, metric_value double, threshold_value double"
+    fresh = spark.createDataFrame(fired, names).selectExpr(
+        "*", "9.5D as deviation", "false as is_resolved", "timestamp'2026-05-02' as detected_at"
+    )
+    once = save_alerts(stored, fresh)
+    got = {(r.alert_type, r.location_name): r for r in once.collect()}
+    assert len(got) == 4 and once.columns == [*stored.columns, "deviation"]
+    oslo, new = got["drop", "Oslo"], got["new", "Oslo"]
+    # the last in order of value gives what is updated; a standing alert keeps the rest
+    assert (oslo.alert_id, oslo.severity, oslo.message, oslo.threshold_value, oslo.is_resolved) == (1, "high", "worse", 0.6, True)
+    assert (new.message, new.metric_value, new.threshold_value, new.deviation) == ("b", 2.0, 0.1, 9.5)
+    assert got["drop", "Rome"].message == "r" and got["loose", None].alert_id is None
+    keyed = fresh.where("location_name is not null")
+    first = save_alerts(stored, keyed)
+    assert sorted(map(str, save_alerts(first, keyed).collect())) == sorted(map(str, first.collect()))
 
 
 def test_malformed_json_is_null(spark):
