@@ -29,7 +29,7 @@ def test_pairs_do_not_depend_on_chunks(size):
     ]
     # c was replaced by a poll that nothing settles before the weather of hour 4 came
     assert test_pending_pages.run(test_pending_pages.processor()[0], [rows], size) == [
-        ("a", 5 * hour, 6 * hour),
+        ("a", 5 * hour, 4 * hour),
         ("b", 1 * hour, 2 * hour),
     ]
 
