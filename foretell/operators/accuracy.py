@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foretell.functions.numeric import FINE, exact_volume, round_to, to_units
+from foretell.functions.numeric import FINE, exact_volume, finite, round_to, sum_units, summed, to_units
 from foretell.functions.outcomes import SNAPSHOT, hit
 from foretell.functions.times import instant
 
@@ -53,13 +53,13 @@ def batch_totals() -> list[Column]:
         F.count_if(reliable).alias("n_reliable"),
         F.count_if(reliable & correct).alias("n_correct"),
         F.count(error).alias("n_error"),
-        F.sum(to_units(error, FINE, signed=False)).alias("error_units"),
+        *sum_units(to_units(error, FINE, signed=False), "error_units"),
         F.min(error).alias("min_error"),
         F.max(error).alias("max_error"),
         F.sum(volume).alias("volume"),
         _sum_if(correct, volume).alias("hit_volume"),
         F.count(outcome).alias("n_outcome"),
-        _sum_if(outcome.isNotNull(), to_units(F.coalesce(price, F.lit(0.5)), FINE, signed=False)).alias("price_units"),
+        *sum_units(to_units(F.when(outcome.isNotNull(), F.coalesce(price, F.lit(0.5))), FINE, signed=False), "price_units"),
         F.coalesce(F.sum(outcome.cast("bigint")), F.lit(0)).alias("outcome_sum"),
         F.count_if((shown > 0.5) & (outcome == 0)).alias("n_over"),
         F.count_if((shown <= 0.5) & (outcome == 1)).alias("n_under"),
@@ -70,11 +70,11 @@ def batch_metrics(totals: DataFrame, keep: Sequence[str]) -> DataFrame:
     c = F.col
     denominator = F.when(c("n_reliable") > 0, c("n_reliable")).otherwise(c("n"))
     accuracy = _ratio(c("n_correct"), denominator)
-    avg_error = _ratio(c("error_units"), c("n_error")) / F.lit(float(10**FINE))
+    avg_error = _ratio(summed("error_units"), c("n_error")) / F.lit(float(10**FINE))
     weighted = F.when(
         c("volume") > 0, c("hit_volume").cast("double") / c("volume").cast("double")
     ).otherwise(accuracy)
-    bias = c("price_units") / F.lit(float(10**FINE)) / c("n_outcome") - _ratio(c("outcome_sum"), c("n_outcome"))
+    bias = summed("price_units") / F.lit(float(10**FINE)) / c("n_outcome") - _ratio(c("outcome_sum"), c("n_outcome"))
     return totals.select(
         *keep,
         c("n").alias("total_predictions"),
@@ -106,10 +106,10 @@ def stream_totals() -> list[Column]:
         F.count_if(counted).alias("n_counted"),
         F.count_if(correct).alias("n_correct"),
         F.count(error).alias("n_error"),
-        F.sum(to_units(error, FINE, signed=False)).alias("error_units"),
+        *sum_units(to_units(error, FINE, signed=False), "error_units"),
         _sum_if(counted, volume).alias("volume"),
         _sum_if(correct, volume).alias("hit_volume"),
-        _sum_if(counted, to_units(price, FINE, signed=False)).alias("price_units"),
+        *sum_units(to_units(F.when(counted, price), FINE, signed=False), "price_units"),
         _sum_if(counted, outcome.cast("bigint")).alias("outcome_sum"),
         F.count_if(counted & (price > 0.5) & (outcome == 0)).alias("n_over"),
         F.count_if(counted & (price <= 0.5) & (outcome == 1)).alias("n_under"),
@@ -120,11 +120,11 @@ def stream_metrics(totals: DataFrame, keep: Sequence) -> DataFrame:
     c = F.col
     counted = F.greatest(c("n_counted"), F.lit(1))
     accuracy = _ratio(c("n_correct"), counted)
-    bias = c("price_units") / F.lit(float(10**FINE)) / counted - _ratio(c("outcome_sum"), counted)
+    bias = summed("price_units") / F.lit(float(10**FINE)) / counted - _ratio(c("outcome_sum"), counted)
     weighted = F.when(
         c("volume") > 0, c("hit_volume").cast("double") / c("volume").cast("double")
     ).otherwise(accuracy)
-    avg_error = _ratio(c("error_units"), c("n_error")) / F.lit(float(10**FINE))
+    avg_error = _ratio(summed("error_units"), c("n_error")) / F.lit(float(10**FINE))
     return totals.select(
         *keep,
         c("n").alias("total_predictions"),
@@ -138,6 +138,11 @@ def stream_metrics(totals: DataFrame, keep: Sequence) -> DataFrame:
     )
 
 
+def _measured() -> list[Column]:
+    """Numbers that are summed; one that is not finite counts as absent."""
+    return [finite(F.col(c)).alias(c) for c in ("price", "prediction_error", "volume")]
+
+
 def accuracy(correlations: DataFrame, variant: str = "batch", extra_keys: Sequence[Column] = ()) -> DataFrame:
     """Metrics per place and market type; ``extra_keys`` are aliased columns."""
     totals, metrics = {
@@ -147,11 +152,9 @@ def accuracy(correlations: DataFrame, variant: str = "batch", extra_keys: Sequen
     frame = correlations.select(
         *group_keys(),
         *extra_keys,
-        "price",
         "actual_outcome",
-        "prediction_error",
         "correlation_method",
-        "volume",
+        *_measured(),
     )
     value_columns = {"price", "actual_outcome", "prediction_error", "correlation_method", "volume"}
     keys = [name for name in frame.columns if name not in value_columns]
@@ -176,6 +179,7 @@ def hopping(
         "stream": (stream_totals, stream_metrics),
     }[variant]
     keys = group_keys()
+    correlations = correlations.select(ts, *GROUP, "actual_outcome", "correlation_method", *_measured())
     whole_panes = pd.Timedelta(window) % pd.Timedelta(slide) == pd.Timedelta(0)
     if correlations.isStreaming or not whole_panes:
         grouped = correlations.groupBy(F.window(ts, window, slide).alias("w"), *keys).agg(*totals())

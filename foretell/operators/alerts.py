@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foretell import constants as C
-from foretell.functions.numeric import FINE, fixed, from_units, percent, round_to, signed_fixed, to_units
+from foretell.functions.numeric import FINE, finite, fixed, from_units, percent, round_to, signed_fixed, sum_units, summed, to_units
 from foretell.functions.text import base_rate
 from foretell.functions.times import instant
 from foretell.operators.baseline import recent_baselines
@@ -206,12 +206,12 @@ def cross_market_sum(records: DataFrame) -> DataFrame:
         F.coalesce(F.col("end_date").cast("string"), F.lit("")).alias("date"),
     ).agg(
         F.count(F.lit(1)).alias("markets"),
-        F.sum(to_units(F.coalesce(F.col("price"), F.lit(0.0)), FINE, signed=False)).alias("units"),
+        *sum_units(to_units(F.coalesce(finite(F.col("price")), F.lit(0.0)), FINE, signed=False), "units"),
     )
     # exact in fine units, so a sum of exactly 1.01 does not fire; rounded only for show
     limit = 10**FINE + round(C.CROSS_MARKET_EXCESS * 10**FINE)
-    return groups.where((F.col("markets") >= 2) & (F.col("units") > limit)).select(
-        "location_name", "market_type", "date", "markets", round_to(from_units(F.col("units"), FINE), 4).alias("price_sum")
+    return groups.where((F.col("markets") >= 2) & (summed("units", "decimal(38,0)") > limit)).select(
+        "location_name", "market_type", "date", "markets", round_to(from_units(summed("units"), FINE), 4).alias("price_sum")
     )
 
 

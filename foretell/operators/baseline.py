@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foretell import constants as C
-from foretell.functions.numeric import FINE, round_to, to_units
+from foretell.functions.numeric import FINE, finite, round_to, to_units
 from foretell.functions.times import instant
 
 DAY_MICROS = 86_400_000_000
 KEYS = ("location_name", "market_type")
+#: Values from here on are not summed in fine units, whose squares would leave a decimal(38,0).
+EXACT = 1e4
 
 
 def mean_of(total: Column, n: Column) -> Column:
@@ -33,18 +35,28 @@ def spread_of(total: Column, squares: Column, n: Column) -> Column:
 
 
 def mean_std(df: DataFrame, keys: Sequence[str], value: Column) -> DataFrame:
-    """Mean and population deviation of the values as they are, rounded once at the end."""
-    units = to_units(value, FINE)
-    wide = units.cast("decimal(19,0)")
+    """Mean and population deviation of the values as they are, rounded once at the end.
+
+    NaN and infinities are left out. Values below ``EXACT`` are summed exactly in fine units;
+    larger ones as doubles.
+    """
+    value = finite(value)
+    large = F.when(F.abs(value) >= EXACT, value)
+    wide = to_units(F.when(F.abs(value) < EXACT, value), FINE).cast("decimal(14,0)")
+    one = float(10**FINE)
+
+    def total(fine: Column, coarse: Column, unit: float) -> Column:
+        exact = F.coalesce(F.sum(fine), F.lit(0)).cast("double") / F.lit(unit)
+        return exact + F.coalesce(F.sum(coarse), F.lit(0.0))
+
     sums = df.groupBy(*keys).agg(
-        F.count(units).alias("n"),
-        F.coalesce(F.sum(units), F.lit(0)).cast("double").alias("s"),
-        F.coalesce(F.sum(wide * wide), F.lit(0)).cast("double").alias("q"),
+        F.count(value).alias("n"),
+        total(wide, large, one).alias("s"),
+        total(wide * wide, large * large, one * one).alias("q"),
     )
-    one = F.lit(float(10**FINE))
-    mean = F.when(F.col("n") > 0, F.col("s") / one / F.col("n")).otherwise(0.0)
+    mean = F.when(F.col("n") > 0, F.col("s") / F.col("n")).otherwise(0.0)
     scatter = F.greatest(F.col("q") - F.col("s") * F.col("s") / F.col("n"), F.lit(0.0))
-    std = F.when(F.col("n") > 0, F.sqrt(scatter / F.col("n")) / one).otherwise(0.0)
+    std = F.when(F.col("n") > 0, F.sqrt(scatter / F.col("n"))).otherwise(0.0)
     return sums.select(*keys, "n", round_to(mean, 4).alias("mean"), round_to(std, 4).alias("std"))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from foretell import constants as C
-from foretell.functions.numeric import to_units
+from foretell.functions.numeric import finite, to_units
 from foretell.operators import alerts
 from foretell.operators.baseline import DAY_MICROS, thresholds
 
@@ -200,8 +200,8 @@ def stream_baselines(
             F.coalesce("market_type", F.lit("WEATHER")).alias("market_type"),
             F.unix_micros(F.col(ts)).alias("at"),
             F.col("total_predictions").cast("bigint").alias("total_predictions"),
-            F.coalesce("accuracy_rate", F.lit(0.0)).alias("accuracy_rate"),
-            F.coalesce("bias_score", F.lit(0.0)).alias("bias_score"),
+            F.coalesce(finite(F.col("accuracy_rate")), F.lit(0.0)).alias("accuracy_rate"),
+            F.coalesce(finite(F.col("bias_score")), F.lit(0.0)).alias("bias_score"),
             ts,
         )
         .withColumns({"acc": to_units(F.col("accuracy_rate"), 4), "bias": to_units(F.col("bias_score"), 4)})

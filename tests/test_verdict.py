@@ -7,6 +7,8 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from foretell.functions.numeric import LIMB, sum_units, summed, to_units
+from foretell.operators.accuracy import accuracy
 from foretell.operators.alerts import cross_market_sum
 from foretell.operators.baseline import DAY_MICROS, mean_std
 from foretell.operators.upsert import insert_missing, upsert
@@ -132,3 +134,38 @@ def test_a_silent_key_has_no_baseline(spark):
     got = {r.location_name: r for r in recent_baselines(latest_aggregate(frame), frame, "2024-01-31 00:00:00").collect()}
     assert (got["old"].baseline_source, got["old"].baseline_n, got["old"].accuracy_threshold) == ("static_fallback", 0, 0.8)
     assert (got["new"].baseline_source, got["new"].baseline_n, got["new"].acc_mean) == ("7day_statistical", 4, 0.9)
+
+
+def test_numbers_that_are_none_are_left_out(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", float("nan")), ("a", float("inf")), ("a", 3.0)], "k string, v double")
+    got = mean_std(df, ["k"], F.col("v")).first()
+    assert (got["n"], got["mean"], got["std"]) == (2, 2.0, 1.0)
+    large = spark.createDataFrame([("a", 1e10), ("a", 3e10), ("b", 0.1), ("b", 0.1)], "k string, v double")
+    got = {r.k: (r.n, r["mean"], r["std"]) for r in mean_std(large, ["k"], F.col("v")).collect()}
+    assert got == {"a": (2, 2e10, 1e10), "b": (2, 0.1, 0.0)}
+    one = spark.range(1).select(to_units(F.lit(float("nan")), 9).alias("a"), to_units(F.lit(1e30), 9).alias("b")).first()
+    assert tuple(one) == (None, None)
+
+
+def test_a_bad_price_does_not_end_the_job(spark):
+    row = ("Oslo", "RAIN", 1, "historical_weather")
+    rows = [(*row, 0.75, 0.25, 10.0), (*row, float("nan"), float("nan"), float("inf")), (*row, 1e30, 1e30, 1e40)]
+    names = "location_name string, market_type string, actual_outcome int, correlation_method string, price double, prediction_error double, volume double"
+    for variant in ("batch", "stream"):
+        got = accuracy(spark.createDataFrame(rows, names), variant).first()
+        assert got["total_predictions"] == 3 and got["location_name"] == "Oslo"
+    alone = accuracy(spark.createDataFrame(rows[:2], names), "stream").first()
+    assert (alone["accuracy_rate"], alone["avg_prediction_error"], alone["bias_score"]) == (1.0, 0.25, -0.25)
+
+
+def test_sums_of_many_rows_stay_exact(spark):
+    """10^10 and more rows of 1.0, each row here standing for many: both limbs merge by addition."""
+    units = (F.lit(1_000_000_007).cast("bigint"), 4 * 10**9)
+    part = spark.range(25).select(
+        (units[0].bitwiseAND((1 << LIMB) - 1) * units[1]).alias("u"), (F.shiftright(units[0], LIMB) * units[1]).alias("u_high")
+    )
+    merged = part.agg(F.sum("u").alias("u"), F.sum("u_high").alias("u_high"))
+    exact = merged.select(summed("u", "decimal(38,0)").alias("x"), summed("u").alias("y")).first()
+    assert int(exact.x) == 25 * units[1] * 1_000_000_007 and exact.y == float(25 * units[1] * 1_000_000_007)
+    signed = spark.createDataFrame([(-5,), (7_000_000_000,), (-3_000_000,)], "u bigint").agg(*sum_units(F.col("u"), "u"))
+    assert int(signed.select(summed("u", "decimal(38,0)").alias("x")).first().x) == 7_000_000_000 - 5 - 3_000_000
