@@ -18,11 +18,12 @@ from foretell.plans.fixtures import Fixtures
 from foretell.sources import tables, topics
 from foretell.sources.changelog import ChangeLog
 from foretell.sources.session import scratch
+from foretell.streaming.counters import CounterListener, count_labels
 from foretell.streaming.hopping import stream_hopping
 from foretell.streaming.keyed import key_by, windowed_counts
 from foretell.streaming.pending_join import stream_pending_join
 from foretell.streaming.rolling_alerts import stream_baselines, stream_rolling_alerts
-from foretell.streaming.run import drain, drain_complete, drain_each, drain_into
+from foretell.streaming.run import drain, drain_complete, drain_each, drain_into, start_append
 
 ORDER_SCHEMA = (
     "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
@@ -171,6 +172,33 @@ def _idempotent(f):
     return log.read()
 
 
+@check(
+    "labelled_counters_live",
+    q("""SELECT 'weather_records_produced_total' AS metric, 'weather_type=' || weather_type AS labels, count(*) AS value FROM weather GROUP BY 2 UNION ALL
+         SELECT 'predictions_produced_total', 'market_status=' || market_status || ',market_type=' ||
+           CASE WHEN market_type IN ('RAIN', 'SNOW', 'WIND') THEN market_type ELSE 'other' END, count(*) FROM predictions GROUP BY 2""",
+      "weather", "predictions"),
+)
+def _live_counters(f):
+    """Counters that the two streams tell with their progress while they run into tables."""
+    listener = CounterListener()
+    f.spark.streams.addListener(listener)
+    try:
+        observed = count_labels(
+            Fixtures.weather_from(_events(f)), "weather_records_produced_total", {"weather_type": ["historical", "current"]}
+        )
+        polled = count_labels(
+            _predictions(f),
+            "predictions_produced_total",
+            {"market_status": ["open", "closed"], "market_type": ["RAIN", "SNOW", "WIND"]},
+        )
+        for name, stream in (("observed", observed), ("polled", polled)):
+            listener.settle(start_append(stream, scratch(f.spark, f"{name}-out"), scratch(f.spark, f"{name}-state")))
+    finally:
+        f.spark.streams.removeListener(listener)
+    return listener.frame(f.spark)
+
+
 # -- lateness, retention, restart ---------------------------------------------------------
 
 _LATE = """

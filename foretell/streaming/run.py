@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming.query import StreamingQuery
 
 from foretell.sources.session import scratch
 
@@ -13,9 +14,9 @@ def drain(df: DataFrame, name: str) -> DataFrame:
     return drain_into(df, scratch(spark, f"{name}-out"), scratch(spark, f"{name}-state"))
 
 
-def drain_into(df: DataFrame, out: str, checkpoint: str) -> DataFrame:
-    """Same with given folders, so that a later run takes up where this one ended."""
-    query = (
+def start_append(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Starts appending what the source holds now to parquet."""
+    return (
         df.writeStream.format("parquet")
         .outputMode("append")
         .option("path", out)
@@ -23,7 +24,11 @@ def drain_into(df: DataFrame, out: str, checkpoint: str) -> DataFrame:
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+
+
+def drain_into(df: DataFrame, out: str, checkpoint: str) -> DataFrame:
+    """Same with given folders, so that a later run takes up where this one ended."""
+    start_append(df, out, checkpoint).awaitTermination()
     return df.sparkSession.read.schema(df.schema).parquet(out)
 
 
