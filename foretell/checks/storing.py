@@ -8,6 +8,7 @@ from foretell.checks import check
 from foretell.checks.sql import NOW, q
 from foretell.operators import upsert as U
 from foretell.sources import tables, topics
+from foretell.sources.bucketed import BucketedTable
 from foretell.sources.session import scratch
 
 # -- correlations: stored = even markets, incoming = all, with changed values --------
@@ -164,15 +165,34 @@ def _fold(f):
     return U.fold_changes(log, U.ALERT_KEYS, U.ALERT_UPDATES, "alert_id")
 
 
-@check(
-    "upsert_city",
+_CITIES = (
     """WITH stored AS (SELECT c_custkey AS k, 'city' || c_custkey AS city_name, c_acctbal AS lat, c_acctbal / 2 AS lon, 'UTC' AS timezone, 'old' AS source,
            TIMESTAMP '2024-01-01' AS updated_at FROM customer WHERE c_custkey % 3 <> 0),
          incoming AS (SELECT 'city' || c_custkey AS city_name, c_acctbal + 1 AS lat, c_acctbal / 2 AS lon, 'Zone/' || c_nationkey AS timezone, 'new' AS source,
            TIMESTAMP '2024-01-31' AS updated_at FROM customer WHERE c_custkey % 2 = 0) """
-    + _merged(_CITY_KEYS, _CITY_SET, ("city_name", "lat", "lon", "timezone", "source", "updated_at")),
+    + _merged(_CITY_KEYS, _CITY_SET, ("city_name", "lat", "lon", "timezone", "source", "updated_at"))
+)
+
+
+@check(
+    "upsert_city",
+    _CITIES,
 )
 def _upsert_city(f):
+    return U.upsert(*_city_pair(f), U.CITY_KEYS, U.CITY_UPDATES)
+
+
+@check("upsert_bucketed", _CITIES)
+def _upsert_bucketed(f):
+    """The same upsert on a table stored in buckets: written, merged and read again."""
+    stored, incoming = _city_pair(f)
+    table = BucketedTable(f.spark, scratch(f.spark, "cities"), U.CITY_KEYS, buckets=8)
+    table.write(stored)
+    table.upsert(incoming, U.CITY_UPDATES)
+    return table.read()
+
+
+def _city_pair(f):
     def cities(source, shift, zone, at, keep):
         key = F.col("c_custkey")
         return f.table("customer").where(keep(key)).select(
@@ -187,7 +207,7 @@ def _upsert_city(f):
     stored = cities("old", 0, F.lit("UTC"), "2024-01-01", lambda k: k % 3 != 0)
     zone = F.concat(F.lit("Zone/"), F.col("c_nationkey").cast("string"))
     incoming = cities("new", 1, zone, "2024-01-31", lambda k: k % 2 == 0)
-    return U.upsert(stored, incoming, U.CITY_KEYS, U.CITY_UPDATES)
+    return stored, incoming
 
 
 # -- appends -----------------------------------------------------------------------------

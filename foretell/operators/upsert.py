@@ -49,17 +49,18 @@ def upsert(
     incoming: DataFrame,
     keys: Sequence[str],
     update_cols: Sequence[str],
+    keyed: bool = False,
 ) -> DataFrame:
     """Conflict -> overwrite ``update_cols``, keep the rest. Keys unique on both sides.
 
-    One full outer join: each side is exchanged once, and never if both are
-    stored bucketed by the keys. Rows with a null key never conflict; they pass the join by,
-    so many of them are not one task's work.
+    One full outer join: each side is exchanged once, and a side that is stored bucketed by
+    the keys (``sources.bucketed``) is not. Rows with a null key never conflict; they pass the
+    join by, so many of them are not one task's work. ``keyed``: no row has one.
     """
-    loose = [
-        df.where(~_known(df, keys)).select(*existing.columns) for df in (existing, incoming)
-    ]
-    existing, incoming = (df.where(_known(df, keys)) for df in (existing, incoming))
+    loose = []
+    if not keyed:
+        loose = [df.where(~_known(df, keys)).select(*existing.columns) for df in (existing, incoming)]
+        existing, incoming = (df.where(_known(df, keys)) for df in (existing, incoming))
     old = existing.select(*[F.col(c).alias(f"o_{c}") for c in existing.columns], F.lit(True).alias("o__"))
     new = incoming.select(*[F.col(c).alias(f"n_{c}") for c in existing.columns], F.lit(True).alias("n__"))
     on = [old[f"o_{k}"] == new[f"n_{k}"] for k in keys]
@@ -71,7 +72,10 @@ def upsert(
             out.append(F.when(given, F.col(f"n_{c}")).otherwise(F.col(f"o_{c}")).alias(c))
         else:
             out.append(F.when(stored, F.col(f"o_{c}")).otherwise(F.col(f"n_{c}")).alias(c))
-    return joined.select(*out).unionByName(loose[0]).unionByName(loose[1])
+    merged = joined.select(*out)
+    for rows in loose:
+        merged = merged.unionByName(rows)
+    return merged
 
 
 def fold_changes(
