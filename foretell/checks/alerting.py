@@ -37,7 +37,7 @@ def _accuracy_sql(source: str, ratio: str, stream: bool = False, at: str = NOW)
     return f"""SELECT 'accuracy_drop' AS alert_type,
       CASE WHEN accuracy_rate < accuracy_threshold * {ratio}::DOUBLE THEN 'critical' ELSE 'high' END AS severity,
       location_name, market_type, {message} AS message, accuracy_rate AS metric_value,
-      {rnd('accuracy_threshold', 4)} AS threshold_value, {rnd('accuracy_threshold - accuracy_rate', 4)} AS deviation,
+      {'accuracy_threshold' if stream else rnd('accuracy_threshold', 4)} AS threshold_value, {rnd('accuracy_threshold - accuracy_rate', 4)} AS deviation,
       {at} AS detected_at FROM {source} WHERE total_predictions >= 10 AND accuracy_rate < accuracy_threshold"""
 
 
@@ -57,7 +57,7 @@ def _bias_sql(source: str, stream: bool = False, at: str = NOW) -> str:
     return f"""SELECT 'bias_detected' AS alert_type,
       CASE WHEN abs(bias_score) > bias_threshold * 1.5::DOUBLE THEN 'high' ELSE 'medium' END AS severity,
       location_name, market_type, {message} AS message, bias_score AS metric_value,
-      {rnd('bias_threshold', 4)} AS threshold_value, {rnd('abs(bias_score) - bias_threshold', 4)} AS deviation,
+      {'bias_threshold' if stream else rnd('bias_threshold', 4)} AS threshold_value, {rnd('abs(bias_score) - bias_threshold', 4)} AS deviation,
       {at} AS detected_at FROM {source} WHERE total_predictions >= 10 AND abs(bias_score) > bias_threshold"""
 
 

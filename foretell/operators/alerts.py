@@ -68,6 +68,11 @@ def _bias_message(style: str) -> Column:
     )
 
 
+def _shown(threshold: Column, style: str) -> Column:
+    """Batch alerts carry a rounded threshold, alerts of a stream the one they were judged by."""
+    return threshold if style == "stream" else round_to(threshold, 4)
+
+
 def _accuracy_rule(at: Column, critical_ratio: float, style: str, min_total: int) -> tuple[Column, list[Column]]:
     accuracy, threshold = F.col("accuracy_rate"), F.col("accuracy_threshold")
     critical = accuracy < threshold * F.lit(critical_ratio)
@@ -78,7 +83,7 @@ def _accuracy_rule(at: Column, critical_ratio: float, style: str, min_total: int
         F.col("market_type"),
         _accuracy_message(style).alias("message"),
         accuracy.alias("metric_value"),
-        round_to(threshold, 4).alias("threshold_value"),
+        _shown(threshold, style).alias("threshold_value"),
         round_to(threshold - accuracy, 4).alias("deviation"),
         at.alias("detected_at"),
     ]
@@ -94,7 +99,7 @@ def _bias_rule(at: Column, style: str, min_total: int) -> tuple[Column, list[Col
         F.col("market_type"),
         _bias_message(style).alias("message"),
         bias.alias("metric_value"),
-        round_to(threshold, 4).alias("threshold_value"),
+        _shown(threshold, style).alias("threshold_value"),
         round_to(size - threshold, 4).alias("deviation"),
         at.alias("detected_at"),
     ]
