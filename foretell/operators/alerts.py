@@ -12,7 +12,7 @@ from foretell import constants as C
 from foretell.functions.numeric import FINE, finite, fixed, from_units, percent, round_to, signed_fixed, sum_units, summed, to_units
 from foretell.functions.text import base_rate
 from foretell.functions.times import instant
-from foretell.operators.baseline import recent_baselines
+from foretell.operators.baseline import newest_judged
 from foretell.operators.toprow import first_per_key, first_seen, latest_per_key
 from foretell.schemas import ALERT
 
@@ -364,14 +364,15 @@ def union_alerts(*frames: DataFrame) -> DataFrame:
 
 def latest_aggregate(aggregates: DataFrame) -> DataFrame:
     """Newest window per place and type, nulls read as 0."""
-    newest = latest_per_key(aggregates, ["location_name", "market_type"], "window_start")
-    return newest.withColumns(
-        {
-            "accuracy_rate": F.coalesce("accuracy_rate", F.lit(0.0)),
-            "bias_score": F.coalesce("bias_score", F.lit(0.0)),
-            "total_predictions": F.coalesce("total_predictions", F.lit(0)),
-        }
-    )
+    return latest_per_key(aggregates, ["location_name", "market_type"], "window_start").withColumns(_no_nulls())
+
+
+def _no_nulls() -> dict[str, Column]:
+    return {
+        "accuracy_rate": F.coalesce("accuracy_rate", F.lit(0.0)),
+        "bias_score": F.coalesce("bias_score", F.lit(0.0)),
+        "total_predictions": F.coalesce("total_predictions", F.lit(0)),
+    }
 
 
 def detect_all(
@@ -385,7 +386,7 @@ def detect_all(
 ) -> DataFrame:
     """All rules: the newest aggregate per key against the seven days before ``as_of``,
     flagged mispricings, silent feeds and the coverage of the join."""
-    judged = recent_baselines(latest_aggregate(aggregates), aggregates, as_of)
+    judged = newest_judged(aggregates, as_of).withColumns(_no_nulls())
     return union_alerts(
         aggregate_alerts(judged, as_of),
         mispricing_flagged(predictions, as_of, arrival),

@@ -143,28 +143,24 @@ def thresholds(with_sums: DataFrame, sigmas: float = C.SIGMAS, min_points: int =
     ).drop("n_rows", *SUM_COLUMNS)
 
 
-def recent_baselines(
-    newest: DataFrame, aggregates: DataFrame, as_of, ts: str = "window_end", days: int = C.BASELINE_DAYS
+def newest_judged(
+    aggregates: DataFrame, as_of, ts: str = "window_end", order: str = "window_start", days: int = C.BASELINE_DAYS
 ) -> DataFrame:
-    """``newest``, one aggregate per place and type, against the ``days`` before ``as_of``.
+    """The newest aggregate of each place and type against the ``days`` before ``as_of``.
 
-    A key silent for longer has no points and gets the static thresholds. Only the last
-    days are read, and they combine map-side: no window over the whole history.
+    A key silent for longer has no points and gets the static thresholds. One grouped pass:
+    the newest row and the sums of recent rows combine map-side, and ``aggregates`` is read once.
     """
-    keys = list(KEYS)
-    acc, dev = to_units(F.col("accuracy_rate"), 4), to_units(F.abs(F.col("bias_score")), 4)
-    recent = aggregates.where(F.col(ts) >= instant(as_of) - F.expr(f"interval {days} days"))
-    sums = recent.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count(acc).alias("n_acc"),
-        F.sum(acc).alias("s_acc"),
-        F.sum(acc * acc).alias("q_acc"),
-        F.count(dev).alias("n_bias"),
-        F.sum(dev).alias("s_bias"),
-        F.sum(dev * dev).alias("q_bias"),
-    )
-    zero = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("n_rows", *SUM_COLUMNS)}
-    return thresholds(newest.join(sums, keys, "left").withColumns(zero))
+    recent = F.col(ts) >= instant(as_of) - F.expr(f"interval {days} days")
+    acc = F.when(recent, to_units(F.col("accuracy_rate"), 4))
+    dev = F.when(recent, to_units(F.abs(F.col("bias_score")), 4))
+    sums = {"n_acc": F.count(acc), "s_acc": F.sum(acc), "q_acc": F.sum(acc * acc)}
+    sums |= {"n_bias": F.count(dev), "s_bias": F.sum(dev), "q_bias": F.sum(dev * dev), "n_rows": F.count_if(recent)}
+    # rows of one window by what they hold, so that ties give the same row in any run
+    row = F.struct(*[F.col(c) for c in aggregates.columns])
+    newest = F.max_by(row, F.struct(order, ts, "accuracy_rate", "bias_score", "total_predictions")).alias("__row")
+    grouped = aggregates.groupBy(*KEYS).agg(newest, *[F.coalesce(s, F.lit(0)).alias(n) for n, s in sums.items()])
+    return thresholds(grouped.select("__row.*", *sums))
 
 
 def baselines(

@@ -60,3 +60,20 @@ def test_generated_methods_fit_the_jit(spark, name):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)) < JIT_LIMIT
+
+
+def test_alert_run_reads_stored_inputs_once_and_exchanges_little(spark):
+    from foretell.checks.alerting import _run_inputs
+    from foretell.operators.alerts import detect_all
+    from foretell.plans.fixtures import AS_OF, POLL_ORDER, Fixtures
+    from foretell.sources.session import scratch
+
+    stored = []
+    for name, frame in zip(("aggregates", "polls", "health", "expected", "scored"), _run_inputs(Fixtures(spark, SF))):
+        path = scratch(spark, f"run-{name}")
+        frame.write.parquet(path)
+        stored.append(spark.read.parquet(path))
+    text = detect_all(*stored, AS_OF, POLL_ORDER)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning", text)) <= 6
+    scans = {name: len(re.findall(rf"FileScan parquet.*run-{name}", text)) for name in ("aggregates", "polls", "expected", "scored")}
+    assert set(scans.values()) == {1}, scans

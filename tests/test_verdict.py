@@ -123,15 +123,14 @@ def test_a_view_leaves_other_views_alone(spark):
 
 
 def test_a_silent_key_has_no_baseline(spark):
-    from foretell.operators.alerts import latest_aggregate
-    from foretell.operators.baseline import recent_baselines
+    from foretell.operators.baseline import newest_judged
 
     rows = [("old", "RAIN", f"2024-01-0{d} 00:00:00", 0.9) for d in range(1, 6)]
     rows += [("new", "RAIN", f"2024-01-2{d} 00:00:00", 0.9) for d in range(5, 9)] + [("new", "RAIN", "2024-01-01 00:00:00", 0.1)]
     frame = spark.createDataFrame(rows, "location_name string, market_type string, at string, accuracy_rate double").select(
         "location_name", "market_type", "accuracy_rate", F.lit(0.0).alias("bias_score"), F.lit(20).cast("bigint").alias("total_predictions"),
         F.col("at").cast("timestamp").alias("window_start"), F.col("at").cast("timestamp").alias("window_end"))
-    got = {r.location_name: r for r in recent_baselines(latest_aggregate(frame), frame, "2024-01-31 00:00:00").collect()}
+    got = {r.location_name: r for r in newest_judged(frame, "2024-01-31 00:00:00").collect()}
     assert (got["old"].baseline_source, got["old"].baseline_n, got["old"].accuracy_threshold) == ("static_fallback", 0, 0.8)
     assert (got["new"].baseline_source, got["new"].baseline_n, got["new"].acc_mean) == ("7day_statistical", 4, 0.9)
 
