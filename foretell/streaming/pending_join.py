@@ -17,16 +17,25 @@ of the state. When the last chunk is read, one page after the other meets the so
 so a task holds one page, its spilled part and the batch's weather of one place. Results do
 not depend on chunks, order, pages or salts.
 
+Spark hands rows to a stateful Python operator cell by cell, and so its state. Rows therefore
+travel in *packs*: before the exchange a task puts its rows of a key, up to ``PACKED`` bytes
+at a time, into one row with an Arrow batch; pages are Arrow batches as well. Of a place's
+polls at one instant only the last and the first of each mask can settle anything, so no
+others are sent. A pack goes under its newest time; rows in it that the watermark at the
+batch's start has passed are late and dropped.
+
 A busy place is spread over ``salts`` keys: predictions hash to one of them, weather goes to
 all. Rows without poll time or market id have no part in the join; NaN counts as null.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,10 +47,12 @@ from foretell.schemas import PREDICTION, WEATHER
 
 TTL_HOURS = 24
 SALTS = 4
-#: Predictions of a key that are held before they go to spill pages; rows a page is meant for.
-HELD = 20_000
+#: Predictions of a key, and their bytes, that are held before they go to spill pages; rows a page is meant for.
+HELD, HELD_BYTES = 100_000, 32 << 20
 PAGE = 5_000
 SPILL_PAGES = 64
+#: Bytes of rows that a task packs at a time.
+PACKED = 8 << 20
 _HOUR_MS = 3_600_000
 _NEVER = np.iinfo(np.int64).max
 
@@ -66,8 +77,8 @@ def _carrier(kind: T.DataType) -> str:
 def _slots(schema: T.StructType) -> dict[str, str]:
     """Field (nested ones as ``outer.inner``) -> the column that carries it: s0, s1, ... and d0, d1, ...
 
-    Both kinds of rows use the same columns: Spark hands rows to a stateful Python operator
-    cell by cell. The place, the times, the market's id and the mask have columns of their own.
+    Both kinds of rows use the same columns. The place, the times, the market's id and the mask
+    have columns of their own.
     """
     out: dict[str, str] = {}
     own = ("location_name", "poll_ts", "condition_id", "answers")
@@ -108,8 +119,14 @@ def _unpacked(value: Column, kind: T.DataType) -> Column:
 
 _WAITING = ["id", "h", "at", "mask", *_P]
 _PAGE_TYPES = {"id": "string", "h": "bigint", "at": "bigint", "mask": "bigint"} | {c: _KIND[c[0]] for c in _P}
-_PAGE_SCHEMA = ", ".join(f"{c} array<{kind}>" for c, kind in _PAGE_TYPES.items())
 _OFFER = ["at", "mask", *_W]
+_ARROW = {"string": pa.string(), "bigint": pa.int64(), "double": pa.float64()}
+_POLLS = pa.schema([(c, _ARROW[kind]) for c, kind in _PAGE_TYPES.items()])
+_OFFERS = pa.schema([("at", pa.int64()), ("mask", pa.int64()), *((c, _ARROW[_KIND[c[0]]]) for c in _W)])
+#: A page: the times, and the other columns of its rows as an Arrow batch.
+_PAGE_SCHEMA = "at array<bigint>, rows binary"
+_PAGE = pa.schema([field for field in _POLLS if field.name != "at"])
+_PACK = "location_name string, salt int, kind int, newest bigint, rows binary"
 _OUT = ", ".join(
     ["location_name string", "id string", "p_at bigint", "w_at bigint", "w_mask bigint"]
     + [f"p_{c} {_KIND[c[0]]}" for c in _P]
@@ -122,10 +139,6 @@ _HEAD_SCHEMA = ", ".join(
 )
 
 
-def _nulls(values: pd.Series) -> list:
-    return values.astype(object).where(values.notna(), None).tolist()
-
-
 class Pages:
     """Waiting predictions of a key: pages by market hash, and the index over them."""
 
@@ -138,13 +151,13 @@ class Pages:
         return len(self.count)
 
     def read(self, page: int) -> pd.DataFrame:
-        return _frame(self.states.getValue((0, page))) if self.count[page] else _frame(None)
+        return _frame(self.states.getValue((0, page))) if self.count[page] else _frame()
 
     def write(self, page: int, rows: pd.DataFrame) -> None:
         had = bool(self.count[page])
         self.count[page] = len(rows)
         if len(rows):
-            self.states.updateValue((0, page), _row(rows))
+            self.states.updateValue((0, page), _row(pa.Table.from_pandas(rows[_WAITING], _POLLS, preserve_index=False)))
             self.wanted[page] = int(np.bitwise_or.reduce(rows["mask"].to_numpy()))
             self.oldest[page], self.newest[page] = int(rows["at"].min()), int(rows["at"].max())
         else:
@@ -166,22 +179,84 @@ class Pages:
     def expire(self, horizon: int) -> None:
         for page, rows in enumerate(self.count):
             if rows and self.newest[page] < horizon:
-                self.write(page, _frame(None))
+                self.write(page, _frame())
             elif rows and self.oldest[page] < horizon:
                 kept = self.read(page)
                 self.write(page, kept[kept["at"] >= horizon])
 
 
-def _frame(row) -> pd.DataFrame:
-    columns = row if row is not None else [[] for _ in _WAITING]
-    kinds = {"string": object, "bigint": np.int64, "double": np.float64}
-    return pd.DataFrame(
-        {c: pd.Series(list(v), dtype=kinds[_PAGE_TYPES[c]]) for c, v in zip(_WAITING, columns)}
-    )
+def _bytes(rows: pa.Table) -> bytes:
+    return rows.combine_chunks().to_batches()[0].serialize().to_pybytes()
+
+
+def _table(packed: bytes, schema: pa.Schema) -> pa.Table:
+    return pa.Table.from_batches([pa.ipc.read_record_batch(pa.py_buffer(packed), schema)])
+
+
+def _frame(*pages) -> pd.DataFrame:
+    """The rows of some pages; an absent page has none."""
+    pages = [page for page in pages if page is not None]
+    rows = pa.concat_tables([_PAGE.empty_table(), *(_table(page[1], _PAGE) for page in pages)])
+    times = [np.asarray(page[0], np.int64) for page in pages]
+    out = _plain(rows)
+    out["at"] = np.concatenate(times) if times else np.empty(0, np.int64)
+    return out[_WAITING]
+
+
+def _plain(rows: pa.Table) -> pd.DataFrame:
+    """Strings as objects, whatever this version of pandas would make of them."""
+    return pd.DataFrame({c: pd.Series(rows[c].to_numpy(), dtype=_NUMPY[rows.schema.field(c).type]) for c in rows.column_names})
+
+
+_NUMPY = {pa.string(): object, pa.int64(): np.int64, pa.float64(): np.float64}
+
+
+def _row(rows: pa.Table) -> tuple:
+    return array("l", rows["at"].to_numpy().tobytes()), _bytes(rows.select(_PAGE.names))
 
 
-def _row(rows: pd.DataFrame) -> tuple:
-    return tuple(_nulls(rows[c]) if _PAGE_TYPES[c] == "string" else rows[c].tolist() for c in _WAITING)
+def _telling(weather: pa.Table) -> pa.Table:
+    """In order of time; of the polls of one instant the last one and the first of each mask."""
+    weather = weather.sort_by([("at", "ascending"), (W_SLOTS["obs_id"], "ascending")])
+    rows = pd.DataFrame({c: weather[c].to_numpy() for c in ("at", "mask")})
+    last = rows["at"].ne(rows["at"].shift(-1))
+    return weather.filter(pa.array((last | ~rows.duplicated()).to_numpy()))
+
+
+def _packs(rows: pa.Table, kind: int) -> Iterator[pa.RecordBatch]:
+    """A pack for each key of the rows."""
+    place, salt = rows["location_name"].combine_chunks().dictionary_encode(), rows["salt"].to_numpy().astype(np.int64)
+    key = place.indices.to_numpy() * (salt.max() + 1) + salt
+    order = np.argsort(key, kind="stable")
+    rows, key = rows.take(order), key[order]
+    cuts = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
+    out = []
+    for start, stop in zip(cuts, cuts[1:]):
+        part = rows.slice(start, stop - start)
+        own = part.select(_POLLS.names) if kind else _telling(part.select(_OFFERS.names))
+        packed = _bytes(own)
+        newest = int(own["at"].to_numpy().max())
+        out.append((part["location_name"][0].as_py(), part["salt"][0].as_py(), kind, newest, packed))
+    kinds = (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+    names = [c.split()[0] for c in _PACK.split(", ")]
+    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
+
+
+def _packed_rows(df: DataFrame, kind: int, lateness: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.nbytes
+            if size > PACKED:
+                yield from _packs(pa.Table.from_batches(held), kind)
+                held, size = [], 0
+        if held:
+            yield from _packs(pa.Table.from_batches(held), kind)
+
+    packs = df.mapInArrow(run, _PACK)
+    return packs.withColumn("poll_ts", F.timestamp_micros("newest")).withWatermark("poll_ts", lateness)
 
 
 def _in_order(rows: pd.DataFrame) -> pd.DataFrame:
@@ -262,57 +337,65 @@ class PendingJoin(StatefulProcessor):
         latest, timer, pages = self._read()
         spills = max(SPILL_PAGES, 2 * len(pages))
         held, offers, parts, total, newest = [], [], {}, 0, 0
-        for chunk in rows:
-            newest = max(newest, int(chunk["at"].max()))
-            asks = chunk["kind"].to_numpy() == 1
-            if not asks.all():
-                offers.append(chunk.loc[~asks, _OFFER])
-            if asks.any():
-                held.append(chunk.loc[asks, _WAITING])
-                total += len(held[-1])
-                if sum(map(len, held)) > HELD:
-                    self._spill(held, spills, parts)
-                    held = []
-        fresh = pd.concat(held, ignore_index=True) if held else _frame(None)
-        if parts and len(fresh):
-            self._spill([fresh], spills, parts)
-            fresh = _frame(None)
-        weather = self._weather(offers)
+        for kind, chunk in self._sides(rows, timerValues):
+            if not len(chunk):
+                continue
+            newest = max(newest, int(chunk["at"].to_numpy().max()))
+            if not kind:
+                offers.append(chunk)
+                continue
+            held.append(chunk)
+            total += len(chunk)
+            if sum(map(len, held)) > HELD or sum(part.nbytes for part in held) > HELD_BYTES:
+                self._spill(held, spills, parts)
+                held = []
+        if not (offers or total):
+            return
+        if parts and held:
+            self._spill(held, spills, parts)
+            held = []
+        fresh = pa.concat_tables([_POLLS.empty_table(), *held]).combine_chunks()
+        observed = _telling(pa.concat_tables([_OFFERS.empty_table(), *offers]))
+        weather = pd.DataFrame({c: observed[c].to_numpy() for c in ("at", "mask")})
         for survivors, stored, new in self._parts(pages, fresh, parts, spills, total, weather):
             paired, place, kept = settle(stored, new, weather, latest and (latest[1], latest[0]), self.ttl)
             survivors.append(kept)
             if len(paired):
-                yield self._pairs(key[0], paired, place, weather, latest)
+                yield self._pairs(key[0], paired, place, observed, latest)
         if len(weather):
-            last = weather.iloc[-1]
-            latest = (int(last["at"]), int(last["mask"]), *(None if pd.isna(last[c]) else last[c] for c in _W))
+            last = observed.slice(len(weather) - 1).to_pylist()[0]
+            latest = tuple(None if pd.isna(last[c]) else last[c] for c in _OFFER)
         # whole hours, so that repeated batches share one timer
         due = ((newest + self.ttl) // 1000 // _HOUR_MS + 1) * _HOUR_MS
         if due != timer:
             self.handle.registerTimer(due)
         self._write(latest, due, pages)
 
-    @staticmethod
-    def _weather(offers: list[pd.DataFrame]) -> pd.DataFrame:
-        if not offers:
-            return pd.DataFrame({c: [] for c in _OFFER}).astype({"at": np.int64, "mask": np.int64})
-        order = ["at", W_SLOTS["obs_id"]]
-        return pd.concat(offers, ignore_index=True).sort_values(order, kind="stable", ignore_index=True)
+    def _sides(self, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[tuple[int, pa.Table]]:
+        """Rows of one kind: weather (0) or predictions (1)."""
+        for chunk in rows:
+            asks = chunk["kind"].to_numpy() == 1
+            yield 0, pa.Table.from_pandas(chunk.loc[~asks, _OFFER], _OFFERS, preserve_index=False)
+            yield 1, pa.Table.from_pandas(chunk.loc[asks, _WAITING], _POLLS, preserve_index=False)
 
     def _spill(self, held: list[pd.DataFrame], spills: int, parts: dict[int, list[int]]) -> None:
         """Rows to spill pages by hash; ``parts`` lists the entries of each page."""
-        rows = pd.concat(held, ignore_index=True)
-        for page, part in rows.groupby(rows["h"].to_numpy() % spills):
-            entries = parts.setdefault(int(page), [])
-            entries.append(int(page) + spills * len(entries))
-            self.pages.updateValue((1, entries[-1]), _row(part))
+        rows = pa.concat_tables(held).combine_chunks()
+        page = rows["h"].to_numpy() % spills
+        order = np.argsort(page, kind="stable")
+        rows, page = rows.take(order), page[order]
+        cuts = [0, *(np.flatnonzero(np.diff(page)) + 1).tolist(), len(page)]
+        for start, stop in zip(cuts, cuts[1:]):
+            entries = parts.setdefault(int(page[start]), [])
+            entries.append(int(page[start]) + spills * len(entries))
+            self.pages.updateValue((1, entries[-1]), _row(rows.slice(start, stop - start)))
 
     def _unspill(self, entries: list[int]) -> pd.DataFrame:
-        frames = []
+        found = []
         for entry in entries:
-            frames.append(_frame(self.pages.getValue((1, entry))))
+            found.append(self.pages.getValue((1, entry)))
             self.pages.removeKey((1, entry))
-        return pd.concat(frames, ignore_index=True) if frames else _frame(None)
+        return _frame(*found)
 
     def _parts(self, pages: Pages, fresh, parts, spills, total, weather):
         """(list for survivors, waiting rows, new rows) for all that this batch touches; writes pages."""
@@ -339,11 +422,11 @@ class PendingJoin(StatefulProcessor):
                 modulus = spills if spilled else size
                 for unit in units:
                     own = waiting[waiting["h"].to_numpy() % modulus == unit]
-                    new = self._unspill(parts.get(unit, [])) if spilled else fresh[mine == target]
+                    new = self._unspill(parts.get(unit, [])) if spilled else _plain(fresh.filter(pa.array(mine == target)))
                     if len(own) or len(new):
                         yield survivors, own, new
                 rows = [s for s in survivors if len(s)]
-                pages.write(target, pd.concat(rows, ignore_index=True) if rows else _frame(None))
+                pages.write(target, pd.concat(rows, ignore_index=True) if rows else _frame())
 
     @staticmethod
     def _pairs(place_name, paired, place, weather, latest) -> pd.DataFrame:
@@ -351,15 +434,17 @@ class PendingJoin(StatefulProcessor):
         old = place < 0
         offers = {}
         for n, column in enumerate(_OFFER):
-            values = weather[column].to_numpy()
-            if old.any():
-                # the newest weather of earlier batches stands behind this batch's
-                values = np.append(values, np.array([latest[n]], dtype=object if column[0] == "s" else None))
-            offers[column] = values[place]
-        out |= {"w_at": offers["at"].astype(np.int64), "w_mask": offers["mask"].astype(np.int64)}
+            kind = _NUMPY[_OFFERS.field(column).type]
+            # the newest weather of earlier batches is not in this batch's table
+            values = np.full(len(place), latest[n] if old.any() else None, object if kind is object else np.float64)
+            if column in ("at", "mask"):
+                values = np.full(len(place), latest[n] if old.any() else 0, np.int64)
+            if not old.all():
+                values[~old] = weather[column].take(pa.array(place[~old])).to_numpy()
+            offers[column] = values
+        out |= {"w_at": offers["at"], "w_mask": offers["mask"]}
         out |= {f"p_{c}": paired[c].to_numpy() for c in _P}
-        for c in _W:
-            out[f"w_{c}"] = offers[c].astype(np.float64) if c[0] == "d" else offers[c].astype(object)
+        out |= {f"w_{c}": offers[c] for c in _W}
         return pd.DataFrame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -375,6 +460,20 @@ class PendingJoin(StatefulProcessor):
         pass
 
 
+class PackedJoin(PendingJoin):
+    """The same over packs."""
+
+    def _sides(self, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[tuple[int, pa.Table]]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        for chunk in rows:
+            for kind, packed in zip(chunk["kind"], chunk["rows"]):
+                table = _table(packed, _POLLS if kind else _OFFERS)
+                at = table["at"].to_numpy()
+                if at.min() <= passed:
+                    table = table.filter(pa.array(at > passed))
+                yield kind, table
+
+
 def _kinds(schema: T.StructType, prefix: str = "") -> dict[str, T.DataType]:
     out: dict[str, T.DataType] = {}
     for field in schema.fields:
@@ -383,20 +482,18 @@ def _kinds(schema: T.StructType, prefix: str = "") -> dict[str, T.DataType]:
     return out
 
 
-def _tagged(df: DataFrame, kind: int, id_col: Column, mask: Column, slots: dict[str, str], schema: T.StructType) -> DataFrame:
+def _tagged(df: DataFrame, id_col: Column, mask: Column, slots: dict[str, str], schema: T.StructType, names: list[str], salt) -> DataFrame:
     kinds = _kinds(schema)
     carried = {slot: _packed(F.col(field), kinds[field]) for field, slot in slots.items()}
-    columns = [carried.get(slot, F.lit(None).cast(_KIND[slot[0]])).alias(slot) for slot in _SLOTS]
-    return df.where("poll_ts is not null").select(
+    tagged = df.where("poll_ts is not null").select(
         F.coalesce("location_name", F.lit("unknown")).alias("location_name"),
-        F.lit(kind).alias("kind"),
         id_col.alias("id"),
         F.abs(F.xxhash64(id_col) % F.lit(1 << 40)).alias("h"),
         F.coalesce(mask, F.lit(0)).cast("bigint").alias("mask"),
         F.unix_micros(F.col("poll_ts")).alias("at"),
-        "poll_ts",
-        *columns,
+        *(column.alias(slot) for slot, column in carried.items()),
     )
+    return tagged.select("location_name", F.coalesce(salt.cast("int"), F.lit(0)).alias("salt"), *names)
 
 
 def _record(schema: T.StructType, prefix: str, slots: dict[str, str], outer: str = "") -> list[Column]:
@@ -430,23 +527,26 @@ def stream_pending_join(
     lateness = lateness or f"{ttl_hours} hours"
     spread = F.lit(salts) if isinstance(salts, int) else salts
     asks = _tagged(
-        predictions.withWatermark("poll_ts", lateness).where("condition_id is not null"),
-        1,
+        predictions.where("condition_id is not null"),
         F.col("condition_id").cast("string"),
         needs_mask(F.col("market_type"), F.col("closed"), F.col("winner"), F.col("threshold")),
         P_SLOTS,
         PREDICTION,
+        _POLLS.names,
+        # the low bits of the hash deal rows to pages
+        F.pmod(F.shiftright("h", 24), spread),
     )
-    # the low bits of the hash deal rows to pages
-    asks = asks.withColumn("salt", F.pmod(F.shiftright("h", 24), spread).cast("int"))
-    ruled = weather.withColumns(settlement(weather)).withWatermark("poll_ts", lateness)
-    offers = _tagged(ruled, 0, F.lit(None).cast("string"), F.col("answers"), W_SLOTS, SETTLED_WEATHER)
-    offers = offers.withColumn("salt", F.explode(F.sequence(F.lit(0), spread.cast("int") - 1)))
+    ruled = weather.withColumns(settlement(weather))
+    none = F.lit(None).cast("string")
+    offers = _tagged(ruled, none, F.col("answers"), W_SLOTS, SETTLED_WEATHER, _OFFERS.names, F.lit(0))
+    # a place's packs go to all its salts
+    copies = F.explode(F.sequence(F.lit(0), spread.cast("int") - 1))
     pairs = (
-        asks.unionByName(offers)
+        _packed_rows(asks, 1, lateness)
+        .unionByName(_packed_rows(offers, 0, lateness).withColumn("salt", copies))
         .groupBy("location_name", "salt")
         .transformWithStateInPandas(
-            statefulProcessor=PendingJoin(ttl_hours),
+            statefulProcessor=PackedJoin(ttl_hours),
             outputStructType=_OUT,
             outputMode="append",
             timeMode="eventTime",

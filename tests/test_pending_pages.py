@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from foretell.streaming import pending_join as J
@@ -204,3 +205,60 @@ def test_a_place_with_many_rows_stays_within_its_memory(tmp_path):
     assert (found, sum(left)) == (100_000, 100_000) and max(left) <= 2 * J.PAGE
     # all rows at once take more than 200 MB here
     assert peak < 90e6
+
+
+class Now:
+    def __init__(self, watermark):
+        self.watermark = watermark
+
+    def getCurrentWatermarkInMs(self):
+        return self.watermark // 1000
+
+
+def packed(rows, kind, places=("Oslo",)):
+    """Packs of the rows as a task sends them, for each place."""
+    names = J._POLLS.names if kind else J._OFFERS.names
+    whole = frame(rows)[names]
+    tables = []
+    for place in places:
+        one = pa.Table.from_pandas(whole, J._POLLS if kind else J._OFFERS, preserve_index=False)
+        tables.append(one.append_column("location_name", pa.array([place] * len(rows))).append_column("salt", pa.array([0] * len(rows), pa.int32())))
+    batches = list(J._packs(pa.concat_tables(tables), kind))
+    return pa.Table.from_batches(batches).to_pandas()
+
+
+def test_packs_carry_a_keys_rows_in_one_and_join_like_rows():
+    rng = random.Random(3)
+    polls = [(1, f"m{rng.randrange(900)}", rng.randrange(1, 30) * HOUR + n, rng.choice([1, 2, 4])) for n in range(2000)]
+    weather = [(0, None, rng.randrange(1, 30) * HOUR, rng.choice([1, 3, 8])) for _ in range(40)]
+    sent = packed(polls, 1, ("Oslo", "Rome"))
+    assert list(sent["location_name"]) == ["Oslo", "Rome"] and sent["newest"][0] == max(p[2] for p in polls)
+    join, handle = J.PackedJoin(24), Handle()
+    join.init(handle)
+    chunk = pd.concat([sent[:1], packed(weather, 0)])
+    out = [pair for found in join.handleInputRows(("Oslo",), iter([chunk]), Now(0)) for pair in zip(found["id"], found["p_at"], found["w_at"])]
+    plain, _ = processor()
+    assert sorted(out) == run(plain, [polls + weather], 100)
+
+
+def test_of_one_instant_the_last_poll_and_the_first_of_each_mask_are_sent():
+    # 300 polls of one instant: all of them went to every salt before
+    weather = [(0, None, HOUR, 1 + n % 2) for n in range(300)] + [(0, None, 2 * HOUR, 4)]
+    sent = packed(weather, 0)
+    kept = J._table(sent["rows"][0], J._OFFERS)
+    assert len(sent) == 1 and kept["mask"].to_pylist() == [1, 2, 2, 4]
+
+
+def test_rows_the_watermark_has_passed_are_dropped_from_their_pack():
+    join, handle = J.PackedJoin(24), Handle()
+    join.init(handle)
+    chunk = pd.concat([packed([(1, "late", 5 * HOUR, 1), (1, "due", 6 * HOUR, 1)], 1), packed([(0, None, 7 * HOUR, 1)], 0)])
+    assert [list(found["id"]) for found in join.handleInputRows(("Oslo",), iter([chunk]), Now(5 * HOUR))] == [["due"]]
+    assert list(join.handleInputRows(("Oslo",), iter([packed([(1, "late", HOUR, 1)], 1)]), Now(5 * HOUR))) == []
+
+
+def test_a_pages_cells_do_not_pass_through_the_state_one_by_one():
+    join, handle = processor()
+    run(join, [[(1, f"m{i}", HOUR + i, 2) for i in range(200)]], 50)
+    ((times, rows),) = handle.states["pages"].values.values()
+    assert len(times) == 200 and isinstance(rows, bytes)
