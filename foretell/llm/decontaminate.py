@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -67,30 +68,33 @@ HITS = "doc_id bigint, reading int, place int, hash bigint, slots array<bigint>"
 
 def _code(run: str) -> int:
     """A run between blanks as a hash with flags in its low bits; 0 if it holds no word."""
-    bare = _BARE.sub("", run)
-    if not bare:
-        return 0
+    # most runs are a word, or a word and a sign behind it, which needs no pattern
+    if run.isalnum():
+        bare = run
+    elif run[:-1].isalnum() and not run[-1].isalnum():
+        bare = run[:-1]
+    else:
+        bare = _BARE.sub("", run)
+        if not bare:
+            return 0
     word = bare.lower()
     flags = _CAPITAL * bare[0].isupper() | _ENDS * (run[-1] in ".!?:")
-    flags |= _NUMBER if any(c.isdigit() for c in bare) else _UNIT * (word in UNITS)
+    flags |= _NUMBER if not bare.isalpha() and any(map(str.isdigit, bare)) else _UNIT * (word in UNITS)
     return xxhash.xxh64_intdigest(word) & ~15 | flags
 
 
 def template(text: str, codes) -> tuple[np.ndarray, list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]]:
     """The words' own hashes, and for each reading its number, the template, which words are
     slots, and which words a window must have one of to say more than the first reading."""
-    parts = []
-    for line in text.split("\n"):
-        runs = line.split()
-        if runs:
-            part = np.fromiter(map(codes, runs), np.uint64, len(runs))
-            part = part[part != 0]
-            if len(part):
-                part[-1] |= np.uint64(_ENDS)  # a line's end ends a sentence
-                parts.append(part)
-    if not parts:
+    lines = [line.split() for line in text.split("\n")]
+    sizes = list(map(len, lines))
+    code = np.fromiter(map(codes, chain.from_iterable(lines)), np.uint64, sum(sizes))
+    words = np.flatnonzero(code)
+    if not len(words):
         return np.empty(0, np.uint64), []
-    code = np.concatenate(parts)
+    line = np.repeat(np.arange(len(lines)), sizes)[words]
+    code = code[words]
+    code[np.append(line[1:] != line[:-1], True)] |= np.uint64(_ENDS)  # a line's end ends a sentence
     flags, own = (code & _FLAGS).astype(np.uint8), code & ~_FLAGS
     number = (flags & _NUMBER) > 0
     unit = np.concatenate(([False], number[:-1])) & ((flags & _UNIT) > 0)

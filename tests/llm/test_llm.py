@@ -388,3 +388,29 @@ def test_pipeline_judges_rows_without_id(spark):
     assert sum(d is None and not t for d, t in got) == 1 and len(got) == 5
     left = [(r.doc_id, r.text) for r in corpus_pipeline.drop_leaks(spark, df, SMALL).collect()]
     assert len(left) == 9 and not any(leak in (t or "") for _, t in left)
+
+
+def test_codes_of_plain_words_need_no_pattern(monkeypatch):
+    from foretell.llm import decontaminate as D
+
+    def by_pattern(run):
+        bare = D._BARE.sub("", run)
+        if not bare:
+            return 0
+        word = bare.lower()
+        flags = D._CAPITAL * bare[0].isupper() | D._ENDS * (run[-1] in ".!?:")
+        flags |= D._NUMBER if any(c.isdigit() for c in bare) else D._UNIT * (word in D.UNITS)
+        return D.xxhash.xxh64_intdigest(word) & ~15 | flags
+
+    plain = ["word", "Word.", "km,", "12", "3a:", "É!", "x²", "½", "²", "Ⅳ?", "ab)", "٣", "word…", "日本。"]
+    odd = ["_", "a_", "_a", "a-b", "(a)", "a_b.", "...", ".", "é", "áb", "don't"]
+    wanted = [by_pattern(run) for run in plain + odd]
+    assert [D._code(run) for run in plain + odd] == wanted
+    monkeypatch.setattr(D, "_BARE", None)
+    assert [D._code(run) for run in plain] == wanted[: len(plain)]
+    texts = ["One two.\n\n three\n--\nFour 5 km, six _\n", "", "\n", "__\n a"]
+    assert [len(D.template(text, by_pattern_ends(D))[0]) for text in texts] == [7, 0, 0, 1]
+
+
+def by_pattern_ends(D):
+    return {r: D.xxhash.xxh64_intdigest(r) & ~15 if r.strip("_-") else 0 for r in "One two. three -- Four 5 km, six _ __ a".split()}.__getitem__
