@@ -20,7 +20,8 @@ import regex
 END = 0x1000
 #: Pairs of tokens remembered, of two numbers each.
 PAIRS = 200_000
-# fixed values: the splitting pattern of the vocabulary, in two spellings
+# fixed values: the splitting pattern of the vocabulary, as the library has it and in two spellings
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _USUAL = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 _EXACT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
 
@@ -190,12 +191,19 @@ class Memo(dict):
             self.learn(word, result)
         return result
 
-    def recall(self, word) -> bool:
-        """Whether an older result was found, which then counts as seen lately."""
-        result = self.before.get(word)
-        if result is not None:
-            self.learn(word, result)
-        return result is not None
+    def all(self, words: list, work) -> list:
+        """Results of many words; ``work`` finds those of all unknown ones at once."""
+        out = list(map(self.get, words))
+        lacking = [i for i, result in enumerate(out) if result is None]
+        for i in lacking:
+            out[i] = self.before.get(words[i])
+        unknown = [i for i in lacking if out[i] is None]
+        for i, result in zip(unknown, work([words[i] for i in unknown])):
+            out[i] = result
+        for i in lacking:
+            if len(words[i]) < LONG:
+                self.learn(words[i], out[i])
+        return out
 
     def learn(self, word, result) -> None:
         self.used += Memo.ENTRY + len(word) + (len(result) if isinstance(result, (bytes, str)) else 0)

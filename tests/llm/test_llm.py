@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import json
 import random
 import struct
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -96,6 +98,57 @@ def test_packed_rows_give_back_every_document(cases, library):
     assert len({(r.shard, r.row) for r in rows}) == len(rows)
 
 
+def _encoded(encoder, texts):
+    ids, cuts = encoder.encode(pa.array(texts, pa.string()))
+    return [ids[a:b].tolist() for a, b in zip(cuts, cuts[1:])]
+
+
+def test_packing_makes_the_ids_of_the_library(library, odd_texts, monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 5000)
+    monkeypatch.setattr(packing, "CHARACTERS", 300)
+    encoder, pick = packing.LibraryEncoder(PATH), random.Random(7)
+    assert encoder.by_words
+    plain = "abcXYZ stremvlSTREMVLd ''' éÉßŸÿıſŉ×÷İ 12 .,!_<|> \n\t\r\x0b\x0c"
+    texts = odd_texts + ["".join(pick.choices(plain, k=pick.randint(0, 60))) for _ in range(5000)]
+    texts += ["x'<|endoftext|>'S", "y" * 12_000 + " z", "'S'Ll''re", "a\x00b c", "<|endoftext|><|endoftext|>"]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    for step in (len(texts), 97):
+        assert [i for n in range(0, len(texts), step) for i in _encoded(encoder, texts[n : n + step])] == want
+    assert _encoded(encoder, []) == [] and _encoded(encoder, ["", " \n"]) == [[], []]
+    ids, cuts = encoder.encode(pa.array(["none", "a b", "", "c's"]).slice(1, 3))
+    assert ids.tolist() == library.encode("a b c's").ids and cuts.tolist() == [0, 2, 2, 4]
+
+
+def test_packing_with_a_vocabulary_of_other_rules(tmp_path):
+    with open(PATH, encoding="utf-8") as file:
+        spec = json.load(file)
+    spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"\d+|[^\s\d]+"
+    (tmp_path / "other.json").write_text(json.dumps(spec))
+    encoder, other = (make(str(tmp_path / "other.json")) for make in (packing.LibraryEncoder, Tokenizer.from_file))
+    texts = ["It's 1234 o'clock, isn't it?", "", "naïve ΑΣ 漢字 12ab34 <|endoftext|>x"]
+    assert not encoder.by_words and _encoded(encoder, texts) == [other.encode(t).ids for t in texts]
+
+
+def test_packing_asks_the_library_for_a_word_once():
+    class Spy:
+        def __init__(self, library):
+            self.library, self.seen = library, []
+
+        def encode(self, text, **more):
+            self.seen += text.split()
+            return self.library.encode(text, **more)
+
+        def encode_batch_fast(self, texts, **more):
+            self.seen += " ".join(texts).split()
+            return self.library.encode_batch_fast(texts, **more)
+
+    encoder = packing.LibraryEncoder(PATH)
+    encoder.library = spy = Spy(encoder.library)
+    for texts in (["Rain, rain! (RAIN)", "rain's"], ["It's rain, (rain) It's"]):
+        _encoded(encoder, texts)
+    assert sorted(spy.seen) == sorted(["rain", ",", "!", "(", ")", "'s", "it"])
+
+
 def _components(texts: dict, width: int, percent: int = 80) -> dict:
     sets = {k: set(minhash.shingle_hashes(t or "", width).tolist()) for k, t in texts.items()}
     root = {k: k for k in texts}
