@@ -197,6 +197,62 @@ def test_near_groups_equal_all_pairs(spark, monkeypatch):
         assert got == _components(texts, width)
 
 
+def _roots(edges: list[tuple[int, int]]) -> dict:
+    """The smallest id of each node's component."""
+    root = {x: x for edge in edges for x in edge}
+    while any(root[a] != root[b] for a, b in edges):
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    return root
+
+
+def test_components_take_few_jobs(spark):
+    """What a round costs the driver is paid only where a task's own edges leave something open."""
+    path = [(i + 1, i) for i in range(300)]
+    edges = spark.createDataFrame(path, "a bigint, b bigint").repartition(3)
+    context = spark.sparkContext
+    context.setJobGroup("components", "components")
+    try:
+        got = minhash.components(edges)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    jobs = context.statusTracker().getJobIdsForGroup("components")
+    assert 0 < len(jobs) <= 8
+    assert {tuple(r) for r in got.collect()} == {(i, 0) for i in range(301)}
+
+
+@pytest.mark.parametrize("most", [4, 1 << 20])
+def test_components_over_many_tasks(spark, monkeypatch, most):
+    pick = random.Random(9)
+    path = pick.sample(range(-70, 70), 140)
+    pairs = list(zip(path[:100], path[1:101])) + [(1000 + i, 1000) for i in range(1, 40)]
+    pairs += [(x, y) for x, y in ((pick.randint(2000, 2060), pick.randint(2000, 2060)) for _ in range(45)) if x != y]
+    pairs += [(b, a) for a, b in pairs[:30]] + pairs[:30]
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    shuffled = spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(minhash, "EDGES", most)
+    try:
+        # one task does not see all edges
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "7")
+        edges = spark.createDataFrame(pairs + [(5000, 5000), (None, 7)], "a bigint, b bigint")
+        got = [tuple(r) for r in minhash.components(edges).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+        spark.conf.set("spark.sql.shuffle.partitions", shuffled)
+    assert sorted(got) == sorted(_roots(pairs).items())
+    assert minhash.components(edges.limit(0)).count() == 0
+
+
+def test_stars_equal_components():
+    pick = random.Random(4)
+    for _ in range(200):
+        n = pick.randint(1, 40)
+        pairs = [(x, y) for x, y in ((pick.randint(-n, n), pick.randint(-n, n)) for _ in range(n)) if x > y]
+        u, v = minhash.stars(*(np.array([p[i] for p in pairs], np.int64) for i in (0, 1)))
+        assert dict(zip(u.tolist(), v.tolist())) == {x: r for x, r in _roots(pairs).items() if x != r}
+
+
 def test_near_groups_of_cases(cases):
     got = minhash.near_groups(cases, 2).collect()
     by_id = {r.doc_id: r for r in got}
